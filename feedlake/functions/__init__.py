@@ -73,7 +73,7 @@ URL_SCHEME = r"^([a-z]+)://"
 URL_HOST = r"^[a-z]+://([^/:?#]+)"
 URL_PATH = r"^[a-z]+://[^/?#]*(/[^?#]*)?"
 URL_LANG = r"^[a-z]+://[^/?#]*/([a-z]{2})/"
-URL_ID = r"/(\d+)(?:[?#]|$)"
+URL_ID = r"^[a-z]+://[^/?#]*/[a-z]{2}/(\d+)"
 URL_PAGE = r"[?&]page=(\d+)"
 
 

@@ -45,3 +45,13 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[Column | str])
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def month_at_least(df: DataFrame, col: str, month: str) -> DataFrame:
+    """P20: rows whose ``YYYY-MM`` month text is >= ``month``.
+
+    Expressed as a bound on the timestamp itself (same rows for non-null
+    values) so that the predicate reaches the Parquet scan as a pushed filter.
+    """
+    start = F.lit(f"{month}-01 00:00:00").cast("timestamp_ntz")
+    return df.where(F.col(col) >= start)

@@ -177,7 +177,7 @@ def _orders_lossy(spark, sf_dir):
 
 
 # fixed value: the date that splits the two-schema feed (FIXTURES 4.4)
-SCHEMA_SPLIT_DATE = "1995-01-01"
+SCHEMA_SPLIT_DATE = "1998-01-01"
 
 
 def _orders_two_schemas(spark, sf_dir):
