@@ -32,12 +32,8 @@ def _visible(name: str) -> bool:
     return not name.startswith(("_", "."))
 
 
-def first_file(spark: SparkSession, root: str, suffix: str = ".parquet") -> str | None:
-    """First data file under ``root`` in path order.
-
-    Directories are entered in name order and the walk stops at the first
-    match, so the cost is the depth of the tree, not the number of files.
-    """
+def iter_files(spark: SparkSession, root: str, suffix: str = ".parquet"):
+    """Data files under ``root`` in path order, listed lazily one directory at a time."""
     fs, p = _fs(spark, root)
 
     def walk(cur):
@@ -46,14 +42,17 @@ def first_file(spark: SparkSession, root: str, suffix: str = ".parquet") -> str
             if not _visible(name):
                 continue
             if st.isDirectory():
-                found = walk(st.getPath())
-                if found:
-                    return found
+                yield from walk(st.getPath())
             elif name.endswith(suffix):
-                return st.getPath().toString()
-        return None
+                yield st.getPath().toString()
+
+    yield from walk(p)
 
-    return walk(p)
+
+def first_file(spark: SparkSession, root: str, suffix: str = ".parquet") -> str | None:
+    """First data file under ``root`` in path order; the walk stops at the first match,
+    so the cost is the depth of the tree, not the number of files."""
+    return next(iter_files(spark, root, suffix), None)
 
 
 def source_fingerprint(spark: SparkSession, paths: list[str]) -> str:
