@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +67,9 @@ def fixture(spark: SparkSession, sf_dir: str, variant: str) -> str:
     """Directory of feed ``variant`` built from the tables in ``sf_dir`` (built on first use)."""
     build, tables = VARIANTS[variant]
     paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
-    key = hashlib.sha1(f"{variant}|{fs.source_fingerprint(spark, paths)}".encode()).hexdigest()[:16]
+    # the key covers the input files and this module's code, so a changed rule rebuilds the feed
+    code = hashlib.sha1(Path(__file__).read_bytes()).hexdigest()
+    key = hashlib.sha1(f"{variant}|{code}|{fs.source_fingerprint(spark, paths)}".encode()).hexdigest()[:16]
     path = f"{scratch_root(spark)}/feedlake/feeds/{variant}-{key}"
     ready = f"{path}/_READY"
     if not fs.exists(spark, ready):
