@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake.operators import envelope as E
-from feedlake.operators.decode import Decoded, decode, infer_fields, json_schema_fields
+from feedlake.operators.decode import Decoded, decode, infer_fields, json_schema_fields, raw_struct
+from feedlake.sources.feed import feed_lines, parse_once, read_feed
 
 
 def decode_stream(env: DataFrame, stream: str, schemas: dict | None = None, **policy) -> Decoded:
@@ -23,3 +26,28 @@ def decode_all(env: DataFrame, **policy) -> dict[str, Decoded]:
     """Every stream of the feed, decoded (streams with a SCHEMA and no rows included)."""
     schemas = E.schema_map(env)
     return {s: decode_stream(env, s, schemas, **policy) for s in E.stream_names(env)}
+
+
+def decode_feed(spark: SparkSession, path: str, stream: str, **policy) -> Decoded:
+    """P6 on a feed file: each RECORD line of ``stream`` is parsed once, straight into
+    its declared fields as text, then cast. The stream's SCHEMA is looked up first
+    with a scan that only parses lines mentioning ``SCHEMA``."""
+    env = read_feed(spark, path)
+    schemas = E.schema_map(env)
+    if stream in schemas:
+        fields = json_schema_fields(schemas[stream]["schema"])
+    else:
+        fields = infer_fields(E.records(env, stream))
+    shape = T.StructType([
+        T.StructField("type", T.StringType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("record", raw_struct(fields)),
+        T.StructField("_corrupt_record", T.StringType()),
+    ])
+    e = parse_once(feed_lines(spark, path), shape)
+    recs = e.where(
+        (F.col("e.type") == "RECORD") & (F.col("e.stream") == stream)
+        & F.col("e._corrupt_record").isNull() & F.col("e.record").isNotNull()
+    ).select("pos", "line", F.col("e.record").alias("record"))
+    keep = policy.pop("keep", ())
+    return decode(recs, fields, record_col="record", text_col="line", keep=keep, **policy)

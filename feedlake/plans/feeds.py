@@ -63,21 +63,27 @@ def write_segments(segments: list[DataFrame], path: str) -> str:
     return path
 
 
-def fixture(spark: SparkSession, sf_dir: str, variant: str) -> str:
-    """Directory of feed ``variant`` built from the tables in ``sf_dir`` (built on first use)."""
-    build, tables = VARIANTS[variant]
+def derived(spark: SparkSession, sf_dir: str, name: str, tables: list[str], write, code_of=None) -> str:
+    """Folder of input data derived by Spark from driver tables, written once by
+    ``write(path)`` and reused. The key covers the input files and the code that
+    derives them, so a changed table or rule gives a new folder."""
     paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
-    # the key covers the input files and this module's code, so a changed rule rebuilds the feed
-    code = hashlib.sha1(Path(__file__).read_bytes()).hexdigest()
-    key = hashlib.sha1(f"{variant}|{code}|{fs.source_fingerprint(spark, paths)}".encode()).hexdigest()[:16]
-    path = f"{scratch_root(spark)}/feedlake/feeds/{variant}-{key}"
+    code = hashlib.sha1(Path(code_of or __file__).read_bytes()).hexdigest()
+    key = hashlib.sha1(f"{name}|{code}|{fs.source_fingerprint(spark, paths)}".encode()).hexdigest()[:16]
+    path = f"{scratch_root(spark)}/feedlake/derived/{name}-{key}"
     ready = f"{path}/_READY"
     if not fs.exists(spark, ready):
-        write_segments(build(spark, sf_dir), path)
+        write(path)
         fs.write_bytes(spark, ready, b"ok")
     return path
 
 
+def fixture(spark: SparkSession, sf_dir: str, variant: str) -> str:
+    """Directory of feed ``variant`` built from the tables in ``sf_dir`` (built on first use)."""
+    build, tables = VARIANTS[variant]
+    return derived(spark, sf_dir, f"feed-{variant}", tables, lambda path: write_segments(build(spark, sf_dir), path))
+
+
 # ------------------------------------------------------------------ variants
 
 

@@ -8,7 +8,7 @@ from feedlake.functions import month_text
 from feedlake.operators import envelope as E
 from feedlake.operators.clean import dedupe_keep_first
 from feedlake.operators.decode import decode, json_schema_fields, required_violations
-from feedlake.operators.ingest import decode_all, decode_stream
+from feedlake.operators.ingest import decode_all, decode_feed, decode_stream
 from feedlake.plans.feeds import EMPTY_STREAM, SCHEMA_SPLIT_DATE, fixture
 from feedlake.plans.registry import query
 from feedlake.sources.feed import read_feed
@@ -117,7 +117,7 @@ FROM lineitem
 """,
 )
 def feed_decode_typed(spark, sf_dir):
-    return decode_stream(feed(spark, sf_dir, "lineitem"), "lineitem").rows
+    return decode_feed(spark, fixture(spark, sf_dir, "lineitem"), "lineitem").rows
 
 
 @query(
@@ -135,7 +135,7 @@ FROM d WHERE rn = 1 GROUP BY 1
 )
 def feed_month_revenue(spark, sf_dir):
     """Flagship: lineitem feed -> decode -> keep-first dedupe -> revenue per month."""
-    rows = decode_stream(feed(spark, sf_dir, "lineitem"), "lineitem").rows
+    rows = decode_feed(spark, fixture(spark, sf_dir, "lineitem"), "lineitem").rows
     first = dedupe_keep_first(rows, ["l_orderkey", "l_linenumber"], LINEITEM_FIRST)
     return first.groupBy(month_text("l_shipdate").alias("month")).agg(
         F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
@@ -154,8 +154,8 @@ FROM orders
 @query("decode_text_numbers", _LOOSE_SQL)
 def decode_text_numbers(spark, sf_dir):
     """Keys and prices sent as text decode to numbers; a bad date becomes null."""
-    env = feed(spark, sf_dir, "orders_loose")
-    return decode_stream(env, "orders", on_mismatch="null", on_required="null").rows
+    path = fixture(spark, sf_dir, "orders_loose")
+    return decode_feed(spark, path, "orders", on_mismatch="null", on_required="null").rows
 
 
 @query(
@@ -163,14 +163,13 @@ def decode_text_numbers(spark, sf_dir):
     "SELECT o_orderkey, CAST(trunc(o_totalprice) AS BIGINT) AS o_totalprice FROM orders",
 )
 def decode_lossy_int(spark, sf_dir):
-    env = feed(spark, sf_dir, "orders_lossy")
-    rows = decode_stream(env, "orders", lossy_int="truncate").rows
+    rows = decode_feed(spark, fixture(spark, sf_dir, "orders_lossy"), "orders", lossy_int="truncate").rows
     return rows.select("o_orderkey", "o_totalprice")
 
 
 @query("decode_object_text", "SELECT event_id, replace(props, ' ', '') AS props FROM events")
 def decode_object_text(spark, sf_dir):
-    return decode_stream(feed(spark, sf_dir, "events"), "events").rows.select("event_id", "props")
+    return decode_feed(spark, fixture(spark, sf_dir, "events"), "events").rows.select("event_id", "props")
 
 
 @query(
@@ -183,7 +182,7 @@ FROM (SELECT vec_id, CAST(label AS BIGINT) AS label,
 """,
 )
 def decode_array(spark, sf_dir):
-    rows = decode_stream(feed(spark, sf_dir, "embeddings"), "embeddings").rows
+    rows = decode_feed(spark, fixture(spark, sf_dir, "embeddings"), "embeddings").rows
     return rows.select("vec_id", "label", F.posexplode("embedding").alias("pos", "v")).select(
         "vec_id", "label", "pos", F.col("v").cast("float").alias("value")
     )
@@ -211,8 +210,7 @@ FROM events
 """,
 )
 def infer_no_schema(spark, sf_dir):
-    env = feed(spark, sf_dir, "events_no_schema")
-    return decode_stream(env, "events").rows
+    return decode_feed(spark, fixture(spark, sf_dir, "events_no_schema"), "events").rows
 
 
 @query(
@@ -225,7 +223,7 @@ FROM orders
 )
 def latest_schema(spark, sf_dir):
     """All rows land under the last SCHEMA; rows sent before it lack the new column."""
-    return decode_stream(feed(spark, sf_dir, "orders_two_schemas"), "orders").rows
+    return decode_feed(spark, fixture(spark, sf_dir, "orders_two_schemas"), "orders").rows
 
 
 @query(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from feedlake.operators import bookmarks as B
 from feedlake.operators import envelope as E
 from feedlake.operators import ledger as L
-from feedlake.operators.ingest import decode_all, decode_stream
+from feedlake.operators.ingest import decode_all, decode_feed
 from feedlake.plans.feeds import TS_FORMAT, fixture, table
 from feedlake.plans.registry import query
 from feedlake.session import scratch_path
@@ -126,8 +126,8 @@ FROM orders
 )
 def manifest_columns(spark, sf_dir):
     """Column profile of the table landed from the loose orders feed."""
-    env = read_feed(spark, fixture(spark, sf_dir, "orders_loose"))
-    rows = decode_stream(env, "orders", on_mismatch="null", on_required="null").rows
+    rows = decode_feed(spark, fixture(spark, sf_dir, "orders_loose"), "orders", on_mismatch="null",
+                       on_required="null").rows
     return L.column_profile(rows)
 
 

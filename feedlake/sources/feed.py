@@ -38,8 +38,22 @@ def feed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+def blank(c: Column) -> Column:
+    return c.rlike(r"^\s*$")
+
+
+def parse_once(lines: DataFrame, schema, keep: tuple[str, ...] = ("pos", "line")) -> DataFrame:
+    """Parse every non-blank ``line`` with ``schema`` into a struct column ``e``, once.
+
+    ``inline`` of a one-element array is a barrier the optimizer does not
+    inline through: without it, filters on parsed fields are pushed below the
+    parse and re-parse the line once per predicate (measured ~10x slower).
+    """
+    once = F.inline(F.array(F.struct(F.lit(0).alias("_"), F.from_json("line", schema, OPTS).alias("e"))))
+    return lines.where(~blank(F.col("line"))).select(*keep, once).drop("_")
 
 
 def messages(lines: DataFrame) -> DataFrame:
@@ -52,19 +66,7 @@ def messages(lines: DataFrame) -> DataFrame:
     A message of another type (e.g. ACTIVATE_VERSION) is kept and ignored by
     the stream operators, as the reference ignores it.
     """
-    text = _strip(F.col("line"))
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    # Parse each line exactly once. ``inline`` of a one-element array is a
-    # barrier the optimizer does not inline through: without it, filters on
-    # envelope fields are pushed below the parse and re-parse the line once
-    # per predicate (measured ~10x slower).
-    once = F.inline(F.array(F.struct(F.lit(0).alias("_"), F.from_json("t", ENVELOPE_DDL, opts).alias("e"))))
-    parsed = (
-        lines.select("pos", text.alias("t"))
-        .select("pos", "t", once)
-        .where(F.col("t") != "")
-        .withColumnRenamed("t", "line")
-    )
+    parsed = parse_once(lines, ENVELOPE_DDL)
     t = F.col("e.type")
     corrupt = F.col("e._corrupt_record").isNotNull()
     missing = (
