@@ -21,10 +21,17 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# the same characters, as a plain set for btrim
+PY_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column | str) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace."""
-    c = _c(c)
-    return F.regexp_replace(F.regexp_replace(c, f"^{PY_WHITESPACE}+", ""), f"{PY_WHITESPACE}+$", "")
+    """Python ``str.strip()``: remove leading and trailing whitespace (scans the ends only)."""
+    return F.btrim(_c(c), F.lit(PY_WHITESPACE_CHARS))
 
 
 def clean_text(c: Column | str) -> Column:

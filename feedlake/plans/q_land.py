@@ -84,13 +84,24 @@ def land_partition_by(spark, sf_dir):
     )
 
 
-@query("land_bounded_files")
+@query(
+    "land_bounded_files",
+    "SELECT count(*) AS rows_landed, CAST(0 AS BIGINT) AS files_over_limit, "
+    "count(*) > 0 AS enough_files FROM lineitem",
+)
 def land_bounded_files(spark, sf_dir):
-    """K5: files of at most 10,000 rows; one row per file with its row count."""
+    """K5: files of at most 10,000 rows: every row lands, no file holds more than the bound,
+    and there are at least ceil(rows / bound) files."""
     path = scratch_path(spark, "bounded")
     K.land_full(table(spark, sf_dir, "lineitem"), path, max_records=K.BATCH_ROWS)
-    back = spark.read.parquet(path)
-    return back.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+    per_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return per_file.agg(
+        F.sum("n").alias("rows_landed"),
+        F.count_if(F.col("n") > K.BATCH_ROWS).alias("files_over_limit"),
+        (F.count(F.lit(1)) * K.BATCH_ROWS >= F.sum("n")).alias("enough_files"),
+    )
 
 
 def _stream_transform(rows, stream):

@@ -10,6 +10,13 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+# builders of inputs derived from the driver tables (feeds, CSV exports); the bench runs them untimed
+PREPARE: list[Callable[[SparkSession, str], object]] = []
+
+
+def prepares(fn):
+    PREPARE.append(fn)
+    return fn
 
 
 def query(key: str, sql: str | None = None):
