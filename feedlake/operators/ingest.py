@@ -22,10 +22,36 @@ def decode_stream(env: DataFrame, stream: str, schemas: dict | None = None, **po
     return decode(recs, fields, **policy)
 
 
-def decode_all(env: DataFrame, **policy) -> dict[str, Decoded]:
-    """Every stream of the feed, decoded (streams with a SCHEMA and no rows included)."""
+def stage_records(env: DataFrame, path: str) -> list[str]:
+    """Write the usable RECORD messages once, partitioned by stream; returns the streams
+    present. Each stream is then read from its own folder (partition pruning), so the
+    feed text is parsed a single time however many streams it carries."""
+    E.records(env).select("stream", "pos", "record").write.mode("overwrite").partitionBy("stream").parquet(path)
+    spark = env.sparkSession
+    return sorted(r["stream"] for r in spark.read.parquet(path).select("stream").distinct().collect())
+
+
+def decode_staged(spark: SparkSession, path: str, stream: str, schemas: dict, **policy) -> Decoded:
+    part = spark.read.parquet(path).where(F.col("stream") == stream)
+    fields = json_schema_fields(schemas[stream]["schema"]) if stream in schemas else infer_fields(part)
+    return decode(part, fields, **policy)
+
+
+def decode_all(env: DataFrame, stage: str | None = None, **policy) -> dict[str, Decoded]:
+    """Every stream of the feed, decoded (streams with a SCHEMA and no rows included).
+
+    With ``stage`` (a scratch folder) the records are routed once by a partitioned write
+    instead of one filtered scan of the feed per stream."""
     schemas = E.schema_map(env)
-    return {s: decode_stream(env, s, schemas, **policy) for s in E.stream_names(env)}
+    if stage is None:
+        return {s: decode_stream(env, s, schemas, **policy) for s in E.stream_names(env)}
+    spark = env.sparkSession
+    present = stage_records(env, stage)
+    out = {s: decode_staged(spark, stage, s, schemas, **policy) for s in present}
+    for s in set(schemas) - set(present):  # announced, no rows
+        empty = spark.createDataFrame([], "pos struct<n:bigint>, record string")
+        out[s] = decode(empty, json_schema_fields(schemas[s]["schema"]), **policy)
+    return dict(sorted(out.items()))
 
 
 def decode_feed(spark: SparkSession, path: str, stream: str, **policy) -> Decoded:

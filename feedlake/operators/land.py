@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators import envelope as E
-from feedlake.operators.decode import decode, json_schema_fields, infer_fields
+from feedlake.operators.decode import json_schema_fields
+from feedlake.operators.ingest import decode_staged, stage_records
 from feedlake.sources import fs
 
 CODECS = ("zstd", "snappy", "gzip", "none")
@@ -118,18 +119,14 @@ def fan_out(
     """
     schemas = E.schema_map(env)
     stage = f"{root}/_staging/{source}"
-    recs = E.records(env).select("stream", "pos", "record")
-    recs.write.mode("overwrite").partitionBy("stream").parquet(stage)
-    present = {r["stream"] for r in spark.read.parquet(stage).select("stream").distinct().collect()}
+    present = set(stage_records(env, stage))
     result = {}
     for stream in sorted(set(schemas) | present):
         if stream not in present:
             fields = json_schema_fields(schemas[stream]["schema"])
             result[stream] = {"rows_raw": 0, "rows_out": 0, "columns": [f.name for f in fields], "path": None}
             continue
-        part = spark.read.parquet(stage).where(F.col("stream") == stream)
-        fields = (json_schema_fields(schemas[stream]["schema"]) if stream in schemas else infer_fields(part))
-        rows = decode(part, fields, **policy).rows
+        rows = decode_staged(spark, stage, stream, schemas, **policy).rows
         raw_obs, out_obs = Observation(f"raw_{stream}"), Observation(f"out_{stream}")
         rows = rows.observe(raw_obs, F.count(F.lit(1)).alias("n"))
         out = transform(rows, stream) if transform else rows

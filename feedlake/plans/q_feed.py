@@ -11,6 +11,7 @@ from feedlake.operators.decode import decode, json_schema_fields, required_viola
 from feedlake.operators.ingest import decode_all, decode_feed, decode_stream
 from feedlake.plans.feeds import EMPTY_STREAM, SCHEMA_SPLIT_DATE, fixture
 from feedlake.plans.registry import query
+from feedlake.session import scratch_path
 from feedlake.sources.feed import read_feed
 
 LINEITEM_COLS = [
@@ -84,7 +85,8 @@ UNION ALL SELECT '{EMPTY_STREAM}', 0, 5, NULL
 )
 def feed_route_streams(spark, sf_dir):
     out = None
-    for stream, dec in decode_all(feed(spark, sf_dir, "multi_stream")).items():
+    staged = decode_all(feed(spark, sf_dir, "multi_stream"), stage=scratch_path(spark, "route"))
+    for stream, dec in staged.items():
         stats = dec.rows.agg(
             F.lit(stream).alias("stream"),
             F.count(F.lit(1)).alias("n_rows"),
