@@ -47,12 +47,18 @@ def _long(df: DataFrame, columns: list[str], order: str) -> DataFrame:
         .withColumnRenamed(order, "seq")
 
 
+# A failed try_cast costs an exception inside Spark, and most cells of a text
+# column fail a numeric cast: a regex on the text decides first, the cast confirms.
+_INT_RE = r"^\s*[+-]?\d+\s*$"
+_NUM_RE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def _is_int(v: Column) -> Column:
-    return v.try_cast("bigint").isNotNull()
+    return v.rlike(_INT_RE) & v.try_cast("bigint").isNotNull()
 
 
 def _is_num(v: Column) -> Column:
-    return v.try_cast("double").isNotNull()
+    return v.rlike(_NUM_RE) & v.try_cast("double").isNotNull()
 
 
 def sheet_types(df: DataFrame, columns: list[str], order: str = "pos", sample: int = SHEET_SAMPLE) -> DataFrame:
@@ -65,7 +71,7 @@ def sheet_types(df: DataFrame, columns: list[str], order: str = "pos", sample: i
     v = F.col("val")
     kinds = first.groupBy("column_name").agg(
         F.bool_and(_is_int(v)).alias("i"),
-        F.bool_and(decimal_comma(v).isNotNull()).alias("n"),
+        F.bool_and(_is_num(F.replace(v, F.lit(","), F.lit(".")))).alias("n"),
         F.bool_and(F.lower(v).isin(*BOOL_TOKENS)).alias("b"),
     )
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "column_name string, ord int")
