@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feedlake.operators import curate as R
 from feedlake.operators import land as K
 from feedlake.plans.feeds import EMPTY_STREAM, fixture, table
-from feedlake.plans.q_ledger import MIDPOINT_SQL, midpoint
+from feedlake.plans.q_ledger import MIDPOINT_SQL, midpoint, ntz
 from feedlake.plans.registry import query
 from feedlake.session import scratch_path
 from feedlake.sources import fs
@@ -64,7 +64,7 @@ def land_partitioned(spark, sf_dir):
     mid = midpoint(ev, "ts")
     last = ev.agg(F.max("ts")).first()[0]
     path = scratch_path(spark, "incremental")
-    cut = F.lit(mid).cast("timestamp_ntz")
+    cut = ntz(mid)
     K.land_incremental(ev.where(F.col("ts") < cut), path, mid.date().isoformat())
     K.land_incremental(ev.where(F.col("ts") >= cut), path, last.date().isoformat())
     return spark.read.parquet(path).groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"))

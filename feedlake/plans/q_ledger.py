@@ -76,11 +76,16 @@ def midpoint(df, col):
     return epoch + dt.timedelta(microseconds=us)
 
 
+def ntz(value: dt.datetime):
+    """A wall-clock literal; built from text so no time zone (Python's or the session's) shifts it."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 @query("run_log_rows", LEDGER_SQL + "SELECT * FROM ledger")
 def run_log_rows(spark, sf_dir):
     """Runs appended to the ledger table in two batches, read back whole."""
     runs = derived_ledger(spark, sf_dir)
-    cut = F.lit(midpoint(runs, "started_at")).cast("timestamp_ntz")
+    cut = ntz(midpoint(runs, "started_at"))
     path = scratch_path(spark, "ledger")
     L.append_runs(runs.where(F.col("started_at") < cut), path)
     L.append_runs(runs.where(F.col("started_at") >= cut), path)
@@ -96,7 +101,7 @@ def manifest_rollup(spark, sf_dir):
 def manifest_merge(spark, sf_dir):
     """Catalog of the first half of the runs, upserted with the second half."""
     runs = derived_ledger(spark, sf_dir)
-    cut = F.lit(midpoint(runs, "started_at")).cast("timestamp_ntz")
+    cut = ntz(midpoint(runs, "started_at"))
     old = L.manifest_rollup(runs.where(F.col("started_at") < cut))
     new = L.manifest_rollup(runs.where(F.col("started_at") >= cut))
     return L.manifest_merge(old, new)
@@ -223,7 +228,7 @@ def bookmark_filter(spark, sf_dir):
     """A first run lands events up to the midpoint and saves its bookmark;
     the incremental run reads only newer rows (the bound is pushed to the scan)."""
     ev = table(spark, sf_dir, "events")
-    cut = F.lit(midpoint(ev, "ts")).cast("timestamp_ntz")
+    cut = ntz(midpoint(ev, "ts"))
     path = scratch_path(spark, "bookmarks")
     _, first = B.incremental(ev.where(F.col("ts") < cut), "events", "ts", B.load(spark, path))
     B.save(first, path)
@@ -238,13 +243,14 @@ def bookmark_filter(spark, sf_dir):
 def bookmark_full(spark, sf_dir):
     """A forced full run ignores the stored bookmark and replaces it."""
     ev = table(spark, sf_dir, "events")
-    cut = F.lit(midpoint(ev, "ts")).cast("timestamp_ntz")
+    cut = ntz(midpoint(ev, "ts"))
     path = scratch_path(spark, "bookmarks")
     _, first = B.incremental(ev.where(F.col("ts") < cut), "events", "ts", B.load(spark, path))
     B.save(first, path)
     rows, new = B.incremental(ev, "events", "ts", B.load(spark, path), full=True)
-    n = rows.agg(F.count(F.lit(1)).alias("n_rows"))
-    return n.crossJoin(new.select(F.col("value").alias("bookmark")))
+    B.save(new, path)
+    saved = B.value_for(B.load(spark, path), "events")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(saved).alias("bookmark"))
 
 
 @query(
