@@ -50,19 +50,27 @@ def records(env: DataFrame, stream: str | None = None) -> DataFrame:
 def latest_schemas(env: DataFrame) -> DataFrame:
     """The last SCHEMA message of each stream (stream, schema, key_properties)."""
     # the text test runs before the JSON parse, so only candidate lines are parsed
-    s = env.where(F.col("line").contains("SCHEMA")).where(_ok() & (F.col("type") == "SCHEMA"))
+    return last_per_stream(env.where(F.col("line").contains("SCHEMA")).where(_ok() & (F.col("type") == "SCHEMA")))
+
+
+def last_per_stream(schema_msgs: DataFrame) -> DataFrame:
+    """The SCHEMA message with the largest position, per stream (map-side reduced)."""
     last = F.max_by(F.struct("schema", "key_properties"), F.col("pos"))
-    return s.groupBy("stream").agg(last.alias("s")).select("stream", "s.schema", "s.key_properties")
+    return schema_msgs.groupBy("stream").agg(last.alias("s")).select("stream", "s.schema", "s.key_properties")
 
 
-def schema_map(env: DataFrame) -> dict[str, dict]:
-    """Latest JSON Schema per stream, on the driver (one row per stream)."""
+def to_schema_map(rows) -> dict[str, dict]:
     return {
         r["stream"]: {"schema": json.loads(r["schema"]), "key_properties": r["key_properties"] or []}
-        for r in latest_schemas(env).collect()
+        for r in rows
     }
 
 
+def schema_map(env: DataFrame) -> dict[str, dict]:
+    """Latest JSON Schema per stream, on the driver (one row per stream)."""
+    return to_schema_map(latest_schemas(env).collect())
+
+
 def stream_names(env: DataFrame) -> list[str]:
     """Streams named by SCHEMA or RECORD messages, in name order (one row per stream)."""
     s = accepted(env).where(F.col("type").isin("SCHEMA", "RECORD")).select("stream").distinct()

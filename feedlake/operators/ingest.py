@@ -22,17 +22,43 @@ def decode_stream(env: DataFrame, stream: str, schemas: dict | None = None, **po
     return decode(recs, fields, **policy)
 
 
-def stage_records(env: DataFrame, path: str) -> list[str]:
-    """Write the usable RECORD messages once, partitioned by stream; returns the streams
-    present. Each stream is then read from its own folder (partition pruning), so the
-    feed text is parsed a single time however many streams it carries."""
-    E.records(env).select("stream", "pos", "record").write.mode("overwrite").partitionBy("stream").parquet(path)
-    spark = env.sparkSession
-    return sorted(r["stream"] for r in spark.read.parquet(path).select("stream").distinct().collect())
+# partition values of the staged envelope that are not stream names
+REJECTS = "__rejects__"
+CONTROL = "__control__"
+
+
+def stage_envelope(env: DataFrame, path: str) -> DataFrame:
+    """Write the envelope once, partitioned by ``route``: one folder per stream for
+    RECORD messages, one for rejected lines and one for SCHEMA / STATE messages.
+    Every later step reads only its folder (partition pruning), so the feed text
+    is parsed a single time however many streams it carries."""
+    route = (
+        F.when(F.col("reject_reason").isNotNull(), F.lit(REJECTS))
+        .when(F.col("type") == "RECORD", F.col("stream"))
+        .otherwise(F.lit(CONTROL))
+    )
+    rejected = F.col("reject_reason").isNotNull()
+    env.select(
+        route.alias("route"), "pos", "type", "stream", "record", "schema", "key_properties", "value",
+        F.when(rejected, F.col("line")).alias("line"), "reject_reason",
+    ).write.mode("overwrite").partitionBy("route").parquet(path)
+    return env.sparkSession.read.parquet(path)
+
 
+def staged_streams(staged: DataFrame) -> list[str]:
+    """Streams with at least one record (one row per partition folder)."""
+    routes = [r["route"] for r in staged.select("route").distinct().collect()]
+    return sorted(r for r in routes if r not in (REJECTS, CONTROL))
 
-def decode_staged(spark: SparkSession, path: str, stream: str, schemas: dict, **policy) -> Decoded:
-    part = spark.read.parquet(path).where(F.col("stream") == stream)
+
+def staged_schemas(staged: DataFrame) -> dict[str, dict]:
+    """Latest SCHEMA per stream, read from the small control folder of the staging."""
+    msgs = staged.where((F.col("route") == CONTROL) & (F.col("type") == "SCHEMA"))
+    return E.to_schema_map(E.last_per_stream(msgs).collect())
+
+
+def decode_staged(staged: DataFrame, stream: str, schemas: dict, **policy) -> Decoded:
+    part = staged.where(F.col("route") == stream)
     fields = json_schema_fields(schemas[stream]["schema"]) if stream in schemas else infer_fields(part)
     return decode(part, fields, **policy)
 
@@ -40,14 +66,16 @@ def decode_staged(spark: SparkSession, path: str, stream: str, schemas: dict, **
 def decode_all(env: DataFrame, stage: str | None = None, **policy) -> dict[str, Decoded]:
     """Every stream of the feed, decoded (streams with a SCHEMA and no rows included).
 
-    With ``stage`` (a scratch folder) the records are routed once by a partitioned write
-    instead of one filtered scan of the feed per stream."""
-    schemas = E.schema_map(env)
+    With ``stage`` (a scratch folder) the envelope is routed once by a partitioned
+    write instead of one filtered scan of the feed per stream."""
     if stage is None:
+        schemas = E.schema_map(env)
         return {s: decode_stream(env, s, schemas, **policy) for s in E.stream_names(env)}
+    staged = stage_envelope(env, stage)
+    schemas = staged_schemas(staged)
+    present = staged_streams(staged)
+    out = {s: decode_staged(staged, s, schemas, **policy) for s in present}
     spark = env.sparkSession
-    present = stage_records(env, stage)
-    out = {s: decode_staged(spark, stage, s, schemas, **policy) for s in present}
     for s in set(schemas) - set(present):  # announced, no rows
         empty = spark.createDataFrame([], "pos struct<n:bigint>, record string")
         out[s] = decode(empty, json_schema_fields(schemas[s]["schema"]), **policy)

@@ -9,15 +9,24 @@ a second run on the same day appends instead of overwriting (D5).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.operators import envelope as E
 from feedlake.operators.decode import json_schema_fields
-from feedlake.operators.ingest import decode_staged, stage_records
+from feedlake.operators.ingest import REJECTS, decode_staged, stage_envelope, staged_schemas, staged_streams
 from feedlake.sources import fs
 
 CODECS = ("zstd", "snappy", "gzip", "none")
+
+
+@dataclass
+class Landed:
+    """Outcome of a fan-out run: per stream counts / columns / path, and rejected lines."""
+
+    streams: dict[str, dict]
+    rejected_lines: int
 # fixed value: the reference's batch size, used as the default file bound
 BATCH_ROWS = 10_000
 
@@ -107,36 +116,47 @@ def fan_out(
     transform=None,
     compression: str = "zstd",
     **policy,
-) -> dict[str, dict]:
-    """K6/K7/A1/T4: land every stream of one feed in one run.
-
-    The usable envelope is first written once, partitioned by stream, so the
-    feed text is parsed a single time however many streams it carries; each
-    stream is then decoded from its own partition (partition pruning) and
-    landed under ``<root>/<source>/<stream>``. Row counts before and after
-    the transform are observed inside the write job itself. A stream with a
-    SCHEMA and no rows is reported with zero rows and no files (K7).
+) -> "Landed":
+    """Land every stream of one feed in one run.
+
+    The envelope is staged once, partitioned by stream (see
+    ``ingest.stage_envelope``); each stream is decoded from its own folder and
+    landed under ``<root>/<source>/<stream>``. Counts are observed inside the
+    write job: records in, rows decoded, rows after the transform. Rejected
+    lines and quarantined records are landed under ``<root>/<source>/_rejects``
+    by a second job that only runs when there are any. A stream with a SCHEMA
+    and no rows is reported with zero rows and no files (K7).
     """
-    schemas = E.schema_map(env)
-    stage = f"{root}/_staging/{source}"
-    present = set(stage_records(env, stage))
-    result = {}
-    for stream in sorted(set(schemas) | present):
+    staged = stage_envelope(env, f"{root}/_staging/{source}")
+    schemas = staged_schemas(staged)
+    present = staged_streams(staged)
+    result: dict[str, dict] = {}
+    bad_lines = staged.where(F.col("route") == REJECTS).select("pos", "line", "reject_reason")
+    n_bad = bad_lines.count()  # reads one small partition folder
+    if n_bad:
+        bad_lines.write.mode("overwrite").parquet(f"{root}/{source}/_rejects/_lines")
+    for stream in sorted(set(schemas) | set(present)):
         if stream not in present:
             fields = json_schema_fields(schemas[stream]["schema"])
-            result[stream] = {"rows_raw": 0, "rows_out": 0, "columns": [f.name for f in fields], "path": None}
+            result[stream] = {"rows_raw": 0, "rows_out": 0, "rejected": 0,
+                              "columns": [f.name for f in fields], "path": None}
             continue
-        rows = decode_staged(spark, stage, stream, schemas, **policy).rows
-        raw_obs, out_obs = Observation(f"raw_{stream}"), Observation(f"out_{stream}")
-        rows = rows.observe(raw_obs, F.count(F.lit(1)).alias("n"))
+        dec = decode_staged(staged, stream, schemas, **policy)
+        ok_obs, out_obs = Observation(f"ok_{stream}"), Observation(f"out_{stream}")
+        rows = dec.rows.observe(ok_obs, F.count(F.lit(1)).alias("n"))
         out = transform(rows, stream) if transform else rows
         out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
         path = f"{root}/{source}/{stream}"
         land_full(out, path, compression)
+        n_in = staged.where(F.col("route") == stream).count()  # footer-level count of one folder
+        rejected = n_in - ok_obs.get["n"]
+        if rejected:
+            dec.rejects.write.mode("overwrite").parquet(f"{root}/{source}/_rejects/{stream}")
         result[stream] = {
-            "rows_raw": raw_obs.get["n"],
+            "rows_raw": ok_obs.get["n"],
             "rows_out": out_obs.get["n"],
+            "rejected": rejected,
             "columns": out.columns,
             "path": path,
         }
-    return result
+    return Landed(result, n_bad)

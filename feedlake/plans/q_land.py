@@ -132,7 +132,7 @@ def land_fan_out(spark, sf_dir):
     root = scratch_path(spark, "lake")
     res = K.fan_out(spark, env, root, "multi", transform=_stream_transform)
     out = None
-    for stream, r in sorted(res.items()):
+    for stream, r in sorted(res.streams.items()):
         if r["path"] is None:
             df = spark.range(1).select(F.lit(stream).alias("stream"), F.lit(0).cast("bigint").alias("rows_landed"),
                                        F.lit(0).cast("bigint").alias("rows_read_back"))

@@ -103,7 +103,7 @@ def stream_counts(spark, sf_dir):
     """A1: rows per stream before and after the transform, observed in the write job."""
     env = read_feed(spark, fixture(spark, sf_dir, "multi_stream"))
     res = K.fan_out(spark, env, scratch_path(spark, "lake"), "multi", transform=_stream_transform)
-    rows = [(s, int(r["rows_raw"]), int(r["rows_out"])) for s, r in sorted(res.items())]
+    rows = [(s, int(r["rows_raw"]), int(r["rows_out"])) for s, r in sorted(res.streams.items())]
     return spark.createDataFrame(rows, "stream string, rows_raw bigint, rows_out bigint")
 
 

@@ -64,11 +64,17 @@ def test_fan_out_counts_and_empty_stream(spark, scratch, lines):
         json.dumps({"type": "SCHEMA", "stream": "empty", "schema": schema}),
     ] + [json.dumps({"type": "RECORD", "stream": "a", "record": {"id": i}}) for i in range(10)] + [
         json.dumps({"type": "RECORD", "stream": "b", "record": {"id": 1, "z": "q"}})]
-    res = K.fan_out(spark, lines(feed), scratch("lake"), "src", transform=lambda df, s: df.where("id >= 5") if s == "a" else df)
-    assert (res["a"]["rows_raw"], res["a"]["rows_out"]) == (10, 5)
+    feed += ['{"type": "RECORD", "stream": "a", "record": {"id": "x"}}', "not json"]
+    root = scratch("lake")
+    out = K.fan_out(spark, lines(feed), root, "src", transform=lambda df, s: df.where("id >= 5") if s == "a" else df)
+    res = out.streams
+    assert (res["a"]["rows_raw"], res["a"]["rows_out"], res["a"]["rejected"]) == (10, 5, 1)
     assert res["b"]["columns"] == ["id", "z"]  # no SCHEMA: inferred
     assert res["empty"]["rows_raw"] == 0 and res["empty"]["path"] is None
     assert spark.read.parquet(res["a"]["path"]).count() == 5
+    assert out.rejected_lines == 1
+    assert spark.read.parquet(f"{root}/src/_rejects/_lines").first()["reject_reason"] == "malformed"
+    assert spark.read.parquet(f"{root}/src/_rejects/a").first()["errors"] == ["mismatch:id"]
 
 
 def test_failsafe_transforms(spark, scratch):
