@@ -115,13 +115,15 @@ def fan_out(
     source: str,
     transform=None,
     compression: str = "zstd",
+    run_date: str | None = None,
     **policy,
 ) -> "Landed":
     """Land every stream of one feed in one run.
 
     The envelope is staged once, partitioned by stream (see
     ``ingest.stage_envelope``); each stream is decoded from its own folder and
-    landed under ``<root>/<source>/<stream>``. Counts are observed inside the
+    landed under ``<root>/<source>/<stream>`` (replacing it, or appended into
+    ``dt=<run_date>`` when ``run_date`` is given). Counts are observed inside the
     write job: records in, rows decoded, rows after the transform. Rejected
     lines and quarantined records are landed under ``<root>/<source>/_rejects``
     by a second job that only runs when there are any. A stream with a SCHEMA
@@ -147,7 +149,10 @@ def fan_out(
         out = transform(rows, stream) if transform else rows
         out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
         path = f"{root}/{source}/{stream}"
-        land_full(out, path, compression)
+        if run_date:
+            land_incremental(out, path, run_date, compression)
+        else:
+            land_full(out, path, compression)
         n_in = staged.where(F.col("route") == stream).count()  # footer-level count of one folder
         rejected = n_in - ok_obs.get["n"]
         if rejected:
