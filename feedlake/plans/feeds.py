@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,8 @@ from feedlake.operators.decode import spark_to_json_schema
 from feedlake.session import scratch_root
 from feedlake.sources import fs
 
+_BUILD_LOCK = threading.Lock()
+
 # fixed value: Spark's default JSON timestamp format keeps only milliseconds
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT + "XXX"}
@@ -71,11 +75,17 @@ def derived(spark: SparkSession, sf_dir: str, name: str, tables: list[str], writ
     code = hashlib.sha1(Path(code_of or __file__).read_bytes()).hexdigest()
     key = hashlib.sha1(f"{name}|{code}|{fs.source_fingerprint(spark, paths)}".encode()).hexdigest()[:16]
     path = f"{scratch_root(spark)}/feedlake/derived/{name}-{key}"
-    ready = f"{path}/_READY"
-    if not fs.exists(spark, ready):
-        write(path)
-        fs.write_bytes(spark, ready, b"ok")
-    return path
+    with _BUILD_LOCK:
+        if fs.exists(spark, f"{path}/_READY"):
+            return path
+        # build aside, then publish by rename: a reader never sees a half-built folder,
+        # and a concurrent builder elsewhere simply loses the race
+        tmp = f"{path}.building-{uuid.uuid4().hex[:8]}"
+        write(tmp)
+        fs.write_bytes(spark, f"{tmp}/_READY", b"ok")
+        if not fs.exists(spark, path):
+            fs.rename(spark, tmp, path)
+    return path if fs.exists(spark, f"{path}/_READY") else tmp
 
 
 def fixture(spark: SparkSession, sf_dir: str, variant: str) -> str:

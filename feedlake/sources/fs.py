@@ -28,6 +28,11 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, s = _fs(spark, src)
+    return bool(fs.rename(s, spark._jvm.org.apache.hadoop.fs.Path(dst)))
+
+
 def _visible(name: str) -> bool:
     return not name.startswith(("_", "."))
 
