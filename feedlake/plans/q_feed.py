@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from feedlake.functions import month_text
 from feedlake.operators import envelope as E
 from feedlake.operators.clean import dedupe_keep_first
-from feedlake.operators.decode import decode, json_schema_fields, required_violations
-from feedlake.operators.ingest import decode_all, decode_feed, decode_stream
+from feedlake.operators.decode import json_schema_fields, required_violations
+from feedlake.operators.ingest import decode_all, decode_feed
 from feedlake.plans.feeds import EMPTY_STREAM, SCHEMA_SPLIT_DATE, fixture
 from feedlake.plans.registry import query
 from feedlake.session import scratch_path
@@ -239,5 +239,3 @@ def latest_state(spark, sf_dir):
         F.get_json_object("value", "$.bookmarks.events.ts").cast("timestamp_ntz").alias("bookmark_ts"),
     )
 
-
-__all__ = ["decode", "LINEITEM_COLS"]

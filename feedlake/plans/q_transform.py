@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from feedlake import functions as X
 from feedlake.operators import clean as C
-from feedlake.operators import curate as R
 from feedlake.operators import land as K
 from feedlake.operators import transform as T
 from feedlake.plans.feeds import fixture, table
@@ -106,5 +105,3 @@ def stream_counts(spark, sf_dir):
     rows = [(s, int(r["rows_raw"]), int(r["rows_out"])) for s, r in sorted(res.streams.items())]
     return spark.createDataFrame(rows, "stream string, rows_raw bigint, rows_out bigint")
 
-
-__all__ = ["R"]
