@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators.decode import json_schema_fields
-from feedlake.operators.ingest import REJECTS, decode_staged, stage_envelope, staged_schemas, staged_streams
+from feedlake.operators.ingest import CONTROL, REJECTS, decode_staged, stage_envelope, staged_schemas, staged_streams
 from feedlake.sources import fs
 
 CODECS = ("zstd", "snappy", "gzip", "none")
@@ -27,6 +27,7 @@ class Landed:
 
     streams: dict[str, dict]
     rejected_lines: int
+    last_state: str | None = None
 # fixed value: the reference's batch size, used as the default file bound
 BATCH_ROWS = 10_000
 
@@ -45,11 +46,12 @@ def land_full(df: DataFrame, path: str, compression: str = "zstd", max_records:
 
 def land_incremental(
     df: DataFrame, path: str, run_date: str, compression: str = "zstd", partition_col: str = "dt",
-    max_records: int | None = None,
+    max_records: int | None = None, extra_partitions: list[str] | None = None,
 ) -> None:
     """K3: incremental landing into the ``dt=<run_date>`` partition, appended."""
     out = df.withColumn(partition_col, F.lit(run_date).cast("date"))
-    _writer(out, compression, max_records).mode("append").partitionBy(partition_col).parquet(path)
+    parts = [partition_col, *(extra_partitions or [])]
+    _writer(out, compression, max_records).mode("append").partitionBy(*parts).parquet(path)
 
 
 def land_partitioned_by(df: DataFrame, path: str, cols: list[str], compression: str = "zstd") -> None:
@@ -116,6 +118,7 @@ def fan_out(
     transform=None,
     compression: str = "zstd",
     run_date: str | None = None,
+    partition_by: list[str] | None = None,
     **policy,
 ) -> "Landed":
     """Land every stream of one feed in one run.
@@ -123,7 +126,8 @@ def fan_out(
     The envelope is staged once, partitioned by stream (see
     ``ingest.stage_envelope``); each stream is decoded from its own folder and
     landed under ``<root>/<source>/<stream>`` (replacing it, or appended into
-    ``dt=<run_date>`` when ``run_date`` is given). Counts are observed inside the
+    ``dt=<run_date>`` when ``run_date`` is given; ``partition_by`` adds user
+    partition columns, D9). Counts are observed inside the
     write job: records in, rows decoded, rows after the transform. Rejected
     lines and quarantined records are landed under ``<root>/<source>/_rejects``
     by a second job that only runs when there are any. A stream with a SCHEMA
@@ -150,7 +154,9 @@ def fan_out(
         out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
         path = f"{root}/{source}/{stream}"
         if run_date:
-            land_incremental(out, path, run_date, compression)
+            land_incremental(out, path, run_date, compression, extra_partitions=partition_by)
+        elif partition_by:
+            land_partitioned_by(out, path, list(partition_by), compression)
         else:
             land_full(out, path, compression)
         n_in = staged.where(F.col("route") == stream).count()  # footer-level count of one folder
@@ -164,4 +170,7 @@ def fan_out(
             "columns": out.columns,
             "path": path,
         }
-    return Landed(result, n_bad)
+    state = staged.where((F.col("route") == CONTROL) & (F.col("type") == "STATE")).agg(
+        F.max_by("value", "pos").alias("v")
+    ).first()
+    return Landed(result, n_bad, state["v"] if state else None)

@@ -49,6 +49,8 @@ def run(
     pipeline: str,
     *,
     transform=None,
+    streams: list[str] | None = None,
+    partition_by: list[str] | None = None,
     incremental: bool = False,
     run_date: str | None = None,
     ledger_path: str | None = None,
@@ -59,8 +61,10 @@ def run(
     """Land every stream of the feed at ``feed_path`` under ``<lake_root>/<source>/``.
 
     ``incremental`` lands into ``dt=<run_date>`` partitions (appending), else each
-    table is replaced. One ledger row per stream records the run (one failure row
-    if the run fails); the feed's last STATE is saved only after success.
+    table is replaced. ``streams`` is the allow-list (None = all, D8) and
+    ``partition_by`` adds partition columns (D9). One ledger row per stream
+    records the run (one failure row if the run fails); the feed's last STATE
+    is saved only after success.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.time()
@@ -69,23 +73,24 @@ def run(
     state_path = state_path or f"{lake_root}/_state/{pipeline}"
     res = RunResult(pipeline=pipeline, success=False)
     try:
-        env = read_feed(spark, feed_path)
+        env = E.stream_filter(read_feed(spark, feed_path), streams)
         landed = fan_out(
             spark, env, lake_root, source, transform=transform, compression=compression,
-            run_date=(run_date or started.date().isoformat()) if incremental else None, **policy,
+            run_date=(run_date or started.date().isoformat()) if incremental else None,
+            partition_by=partition_by, **policy,
         )
         res.streams = {s: int(r["rows_out"]) for s, r in landed.streams.items()}
         res.streams_raw = {s: int(r["rows_raw"]) for s, r in landed.streams.items()}
         res.schemas = {s: list(r["columns"]) for s, r in landed.streams.items()}
         res.rejected_lines = landed.rejected_lines
-        state = E.latest_state(env).first()
-        res.last_state = state["value"] if state else None
+        res.last_state = landed.last_state
         res.success = True
     except Exception as e:  # noqa: BLE001 - a failed run is recorded, not raised
         res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}" if str(e) else type(e).__name__
     duration = round(time.time() - t0, 3)
     if res.success:
         rows = [(run_id, pipeline, source, s, started, duration, "success", n, None) for s, n in res.streams.items()]
+        rows = rows or [(run_id, pipeline, source, None, started, duration, "success", 0, None)]
     else:
         rows = [(run_id, pipeline, source, None, started, duration, "failure", 0, res.error)]
     L.append_runs(spark.createDataFrame(rows, LEDGER_DDL), ledger_path)

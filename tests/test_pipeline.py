@@ -51,3 +51,13 @@ def test_failed_run_is_recorded_without_state(spark, scratch):
     assert runs[0]["status"] == "failure" and runs[0]["error"] == res.error
     assert P.load_state(spark, lake, "broken") is None
     assert L.run_failed_latest(L.read_ledger(spark, f"{lake}/_ledger")).count() == 1
+
+
+def test_stream_allow_list_and_partition_by(spark, scratch):
+    lake = scratch("lake")
+    extra = ['{"type": "RECORD", "stream": "other", "record": {"x": 1}}']
+    res = P.run(spark, _feed(spark, scratch, USERS_FEED + extra), lake, "mock", "p",
+                streams=["users"], partition_by=["active"])
+    assert res.success and set(res.streams) == {"users"}
+    assert fs.exists(spark, f"{lake}/mock/users/active=true")
+    assert not fs.exists(spark, f"{lake}/mock/other")
