@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "feed_decode_typed",
     "feed_month_revenue",
+    "pipeline_run",
     "dedupe_keep_first",
     "feed_rejects",
     "decode_text_numbers",

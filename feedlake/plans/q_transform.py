@@ -6,8 +6,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from feedlake import functions as X
+from feedlake import pipeline as P
 from feedlake.operators import clean as C
 from feedlake.operators import land as K
+from feedlake.operators import ledger as L
 from feedlake.operators import transform as T
 from feedlake.plans.feeds import fixture, table
 from feedlake.plans.q_land import _FAN_SQL, _stream_transform
@@ -105,3 +107,20 @@ def stream_counts(spark, sf_dir):
     rows = [(s, int(r["rows_raw"]), int(r["rows_out"])) for s, r in sorted(res.streams.items())]
     return spark.createDataFrame(rows, "stream string, rows_raw bigint, rows_out bigint")
 
+
+
+@query(
+    "pipeline_run",
+    "SELECT event_id, ts, user_id, event_type, value, replace(props, ' ', '') AS props FROM events",
+)
+def pipeline_run(spark, sf_dir):
+    """A whole ingest run (feed -> lake -> ledger -> state) over the events feed; the
+    landed table is read back. The run's ledger row must say success."""
+    lake = scratch_path(spark, "run")
+    res = P.run(spark, fixture(spark, sf_dir, "events"), lake, "app", "events_pipe", incremental=True)
+    if not res.success:
+        raise RuntimeError(res.error)
+    ledger = L.read_ledger(spark, f"{lake}/_ledger")
+    if ledger.where(F.col("status") != "success").count():
+        raise RuntimeError("run ledger records a failure")
+    return spark.read.parquet(f"{lake}/app/events").drop("dt")
