@@ -91,6 +91,15 @@ def read_tree(spark: SparkSession, root: str, pattern: str = "*.parquet", schema
     return r.parquet(root)
 
 
+def tree_file_counts(df: DataFrame) -> dict:
+    """S4 accounting for a tree read with ``read_tree``: files listed, files that gave
+    rows, and the difference (unreadable files skipped, or valid empty files).
+    The per-file row counts are a distributed aggregate; one row per file returns."""
+    listed = len(df.inputFiles())
+    used = df.select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    return {"files_listed": listed, "files_with_rows": used, "files_without_rows": listed - used}
+
+
 def first_file_schema(spark: SparkSession, root: str):
     """S3: schema of the first readable Parquet file under ``root`` in path order
     (footer reads only; unreadable files are passed over, as S4 skips them)."""
