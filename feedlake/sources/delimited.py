@@ -162,6 +162,8 @@ def read_entities(spark: SparkSession, entities: dict[str, str]) -> dict[str, Da
 def read_matching(spark: SparkSession, prefix: str, pattern: str) -> DataFrame:
     """CSV files under ``prefix`` whose path matches the regex ``pattern``.
 
-    The test is on ``_metadata.file_path``, a constant per file."""
+    The test is on ``_metadata.file_path``, a constant per file: Spark hands it to
+    the file index, so files that do not match are pruned before any task is
+    planned (the scan's ``numFiles`` metric counts only matching files)."""
     df = spark.read.option("header", True).option("recursiveFileLookup", "true").csv(prefix)
     return df.where(F.col("_metadata.file_path").rlike(pattern))
