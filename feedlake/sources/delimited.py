@@ -88,7 +88,7 @@ def sheet_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Values by inferred type; empty -> null; booleans are the true tokens.
 
     A value that does not fit its column's type is null here (the reference
-    keeps the text and fails later at write)."""
+    keeps the text and fails later at write); :func:`sheet_rejects` lists them."""
     cols = []
     for c, t in types.items():
         v = F.nullif(strip(F.col(f"`{c}`")), F.lit(""))
@@ -102,6 +102,26 @@ def sheet_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*cols)
 
 
+def sheet_rejects(df: DataFrame, types: dict[str, str], order: str = "pos") -> DataFrame:
+    """The non-empty cells that do not fit their column's inferred type,
+    as (seq, column_name, val) rows, so they can be quarantined instead of
+    failing the run later."""
+    cells = _long(df, list(types), order).where(F.nullif(strip(F.col("val")), F.lit("")).isNotNull())
+    v = strip(F.col("val"))
+    fits = F.lit(True)
+    for c, t in types.items():
+        if t == "integer":
+            ok = _is_int(v)
+        elif t == "number":
+            ok = decimal_comma(v).isNotNull()
+        elif t == "boolean":
+            ok = F.lower(v).isin(*BOOL_TOKENS)
+        else:
+            continue
+        fits = F.when(F.col("column_name") == c, ok).otherwise(fits)
+    return cells.where(~fits)
+
+
 def _cell_kind(v: Column) -> Column:
     return (
         F.when(_is_int(v), "integer")

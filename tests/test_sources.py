@@ -23,6 +23,16 @@ def test_sheet_inference_rules(spark):
     assert [r["b"] for r in cast] == [True, False, True]
 
 
+def test_sheet_rejects_list_cells_that_do_not_fit(spark):
+    cols = ["i", "b"]
+    rows = [(str(i), "sim") for i in range(20)] + [("x1", "maybe"), ("", "nao")]
+    sheet = _sheet(spark, rows, cols)
+    types = {r["column_name"]: r["json_type"] for r in D.sheet_types(sheet, cols).collect()}
+    assert types == {"i": "integer", "b": "boolean"}
+    bad = sorted((r["column_name"], r["val"]) for r in D.sheet_rejects(sheet, types).collect())
+    assert bad == [("b", "maybe"), ("i", "x1")]
+
+
 def test_sheet_sample_is_first_20_non_empty(spark):
     rows = [(str(i),) for i in range(20)] + [("text",)]
     types = D.sheet_types(_sheet(spark, rows, ["c"]), ["c"]).collect()
