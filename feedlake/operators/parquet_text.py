@@ -27,9 +27,12 @@ def coarse_type(dt: T.DataType) -> str:
 
 
 def coarse_types(df: DataFrame) -> DataFrame:
-    """(column_name, json_type) per column, from the schema (one row per column)."""
-    rows = [(f.name, coarse_type(f.dataType)) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column_name string, json_type string")
+    """(column_name, json_type, n_values) per column: the declared coarse type and the
+    number of non-null values, from one aggregate pass over the table."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    pairs = ", ".join(f"'{f.name}', '{coarse_type(f.dataType)}', n{i}" for i, f in enumerate(fields))
+    return counts.selectExpr(f"stack({len(fields)}, {pairs}) as (column_name, json_type, n_values)")
 
 
 def iso_projection(df: DataFrame) -> DataFrame:

@@ -16,23 +16,51 @@ TABLES = (
 ).split()
 
 
+# fixed values: the columns of the driver tables (only used to write the oracle SQL)
+TABLE_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+_COUNTS_SQL = "\n  UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS n_values FROM {t}"
+    for t in TABLES for c in TABLE_COLUMNS[t]
+)
+
+
 @query(
     "parquet_stringify",
     f"""
-SELECT table_name, column_name,
-       CASE WHEN upper(data_type) LIKE '%INT%' THEN 'integer'
-            WHEN upper(data_type) LIKE '%FLOAT%' OR upper(data_type) LIKE '%DOUBLE%' THEN 'number'
-            WHEN upper(data_type) LIKE '%BOOL%' THEN 'boolean'
-            ELSE 'string' END AS json_type
-FROM information_schema.columns
-WHERE table_name IN ({", ".join(f"'{t}'" for t in TABLES)})
+WITH counts AS (
+  {_COUNTS_SQL})
+SELECT c.table_name, c.column_name,
+       CASE WHEN upper(i.data_type) LIKE '%INT%' THEN 'integer'
+            WHEN upper(i.data_type) LIKE '%FLOAT%' OR upper(i.data_type) LIKE '%DOUBLE%' THEN 'number'
+            WHEN upper(i.data_type) LIKE '%BOOL%' THEN 'boolean'
+            ELSE 'string' END AS json_type,
+       c.n_values
+FROM counts c JOIN information_schema.columns i ON i.table_name = c.table_name AND i.column_name = c.column_name
 """,
 )
 def parquet_stringify(spark, sf_dir):
-    """The coarse JSON type the Parquet source declares for every column of every table."""
+    """The coarse JSON type the Parquet source declares for every column of every
+    table, with the number of values it would send (one aggregate pass per table)."""
     out = None
     for t in TABLES:
-        df = coarse_types(table(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "column_name", "json_type")
+        df = coarse_types(table(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "*")
         out = df if out is None else out.unionByName(df)
     return out
 
