@@ -14,7 +14,7 @@ reduces map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.functions import to_day
@@ -79,10 +79,10 @@ def column_profile(df: DataFrame) -> DataFrame:
     """Name, type and null count of every column, in one aggregate pass."""
     fields = df.schema.fields
     wide = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}") for i, f in enumerate(fields)])
-    pairs = ", ".join(
-        f"'{f.name}', '{f.dataType.simpleString()}', n{i}" for i, f in enumerate(fields)
-    )
-    return wide.selectExpr(f"stack({len(fields)}, {pairs}) as (column_name, data_type, null_count)")
+    triples = [
+        x for i, f in enumerate(fields) for x in (F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f"n{i}"))
+    ]
+    return wide.select(F.stack(F.lit(len(fields)), *triples).alias("column_name", "data_type", "null_count"))
 
 
 def run_totals(ledger: DataFrame) -> DataFrame:
@@ -119,8 +119,6 @@ def run_last_n(ledger: DataFrame, n: int = 10) -> DataFrame:
     ``row_number() <= n`` plans a partial ``WindowGroupLimit`` before the
     shuffle, so a pipeline with a huge history sends at most ``n`` rows per
     map task."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("pipeline").orderBy(F.col("started_at").desc(), F.col("run_id").desc())
     return ledger.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 

@@ -31,8 +31,8 @@ def coarse_types(df: DataFrame) -> DataFrame:
     number of non-null values, from one aggregate pass over the table."""
     fields = df.schema.fields
     counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
-    pairs = ", ".join(f"'{f.name}', '{coarse_type(f.dataType)}', n{i}" for i, f in enumerate(fields))
-    return counts.selectExpr(f"stack({len(fields)}, {pairs}) as (column_name, json_type, n_values)")
+    triples = [x for i, f in enumerate(fields) for x in (F.lit(f.name), F.lit(coarse_type(f.dataType)), F.col(f"n{i}"))]
+    return counts.select(F.stack(F.lit(len(fields)), *triples).alias("column_name", "json_type", "n_values"))
 
 
 def iso_projection(df: DataFrame) -> DataFrame:
