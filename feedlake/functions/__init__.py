@@ -17,6 +17,11 @@ TRUE_TOKENS = ("true", "sim", "yes", "1")
 FALSE_TOKENS = ("false", "nao", "no", "0")
 
 
+def qcol(name: str) -> Column:
+    """Column by its exact name (dots, blanks and backticks in the name are literal)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

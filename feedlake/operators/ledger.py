@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlake.functions import to_day
+from feedlake.functions import qcol, to_day
 
 LEDGER_COLUMNS = [
     "run_id", "pipeline", "source", "stream", "started_at", "duration_seconds", "status", "records", "error",
@@ -78,7 +78,7 @@ def manifest_flat(rollup: DataFrame, prefix: str = "raw") -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Name, type and null count of every column, in one aggregate pass."""
     fields = df.schema.fields
-    wide = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}") for i, f in enumerate(fields)])
+    wide = df.agg(*[F.count_if(qcol(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(fields)])
     triples = [
         x for i, f in enumerate(fields) for x in (F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f"n{i}"))
     ]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedlake.functions import iso_text
+from feedlake.functions import iso_text, qcol
 
 
 def coarse_type(dt: T.DataType) -> str:
@@ -30,7 +30,7 @@ def coarse_types(df: DataFrame) -> DataFrame:
     """(column_name, json_type, n_values) per column: the declared coarse type and the
     number of non-null values, from one aggregate pass over the table."""
     fields = df.schema.fields
-    counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"n{i}") for i, f in enumerate(fields)])
+    counts = df.agg(*[F.count(qcol(f.name)).alias(f"n{i}") for i, f in enumerate(fields)])
     triples = [x for i, f in enumerate(fields) for x in (F.lit(f.name), F.lit(coarse_type(f.dataType)), F.col(f"n{i}"))]
     return counts.select(F.stack(F.lit(len(fields)), *triples).alias("column_name", "json_type", "n_values"))
 
@@ -39,7 +39,7 @@ def iso_projection(df: DataFrame) -> DataFrame:
     """Timestamps as ISO text (fraction only when non-zero), dates as ``YYYY-MM-DD``, decimals as text."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = qcol(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = iso_text(c)
         elif isinstance(f.dataType, T.DateType):

@@ -22,6 +22,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.functions import qcol
 from feedlake.operators.decode import spark_to_json_schema
 from feedlake.session import scratch_root
 from feedlake.sources import fs
@@ -49,7 +50,7 @@ def schema_line(stream: str, schema: dict, key_properties: list[str] | None = No
 
 def record_lines(df: DataFrame, stream: str, record: Column | None = None) -> DataFrame:
     """RECORD lines: ``to_json`` of (type, stream, record) per row."""
-    rec = record if record is not None else F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rec = record if record is not None else F.struct(*[qcol(c) for c in df.columns])
     msg = F.struct(F.lit("RECORD").alias("type"), F.lit(stream).alias("stream"), rec.alias("record"))
     return df.select(F.to_json(msg, JSON_OPTS).alias("value"))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlake.functions import BOOL_TOKENS, TRUE_TOKENS, decimal_comma, strip
+from feedlake.functions import BOOL_TOKENS, TRUE_TOKENS, decimal_comma, qcol, strip
 
 # fixed values: sample sizes of the reference's two inference rules
 SHEET_SAMPLE = 20
@@ -30,7 +30,7 @@ def read_csv(spark: SparkSession, path: str | list[str], with_pos: bool = True)
     """
     df = spark.read.option("header", True).option("recursiveFileLookup", "true").csv(path)
     clean = [c.replace("\ufeff", "").strip() for c in df.columns]
-    cols = [F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, clean)]
+    cols = [qcol(c).alias(n) for c, n in zip(df.columns, clean)]
     if with_pos:
         pos = F.struct(
             F.col("_metadata.file_path").alias("file"),
@@ -43,7 +43,7 @@ def read_csv(spark: SparkSession, path: str | list[str], with_pos: bool = True)
 
 def _long(df: DataFrame, columns: list[str], order: str) -> DataFrame:
     """(column_name, seq, val) rows: one per cell."""
-    return df.unpivot([order], [F.col(f"`{c}`").cast("string") for c in columns], "column_name", "val") \
+    return df.unpivot([order], [qcol(c).cast("string") for c in columns], "column_name", "val") \
         .withColumnRenamed(order, "seq")
 
 
@@ -91,7 +91,7 @@ def sheet_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
     keeps the text and fails later at write); :func:`sheet_rejects` lists them."""
     cols = []
     for c, t in types.items():
-        v = F.nullif(strip(F.col(f"`{c}`")), F.lit(""))
+        v = F.nullif(strip(qcol(c)), F.lit(""))
         if t == "integer":
             v = v.try_cast("bigint")
         elif t == "number":
@@ -163,7 +163,7 @@ def majority_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Values by majority type; a failed cast is null; boolean = text is ``true``."""
     cols = []
     for c, t in types.items():
-        v = F.nullif(F.col(f"`{c}`"), F.lit(""))
+        v = F.nullif(qcol(c), F.lit(""))
         if t == "integer":
             v = v.try_cast("bigint")
         elif t == "number":
