@@ -30,9 +30,11 @@ def _latest_key() -> Column:
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Append run rows to the ledger table (partitioned by start day)."""
+    """Append run rows to the ledger table (partitioned by start day).
+    An optional ``mode`` column ('full' | 'incremental') is kept when present."""
+    cols = LEDGER_COLUMNS + (["mode"] if "mode" in runs.columns else [])
     (
-        runs.select(*LEDGER_COLUMNS)
+        runs.select(*cols)
         .withColumn("run_day", to_day("started_at"))
         .write.mode("append")
         .partitionBy("run_day")
@@ -41,7 +43,8 @@ def append_runs(runs: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*LEDGER_COLUMNS)
+    df = spark.read.parquet(path)
+    return df.select(*LEDGER_COLUMNS, *(["mode"] if "mode" in df.columns else []))
 
 
 def manifest_rollup(ledger: DataFrame) -> DataFrame:
@@ -56,6 +59,24 @@ def manifest_rollup(ledger: DataFrame) -> DataFrame:
     )
 
 
+def rows_live(ledger: DataFrame) -> DataFrame:
+    """Rows currently in each table, as opposed to ``total_rows`` (rows ever landed).
+
+    A full run replaces the table, an incremental run appends, so the live rows
+    are the last successful full run plus the incremental runs after it (all
+    runs when there was never a full one). Needs the ledger's ``mode`` column.
+    The last full run per table is a small aggregate (one row per table) joined
+    back on the table key."""
+    ok = ledger.where(F.col("status") == "success")
+    last_full = ok.where(F.col("mode") == "full").groupBy("source", "stream").agg(
+        F.max(_latest_key()).alias("_lf")
+    )
+    since = ok.join(last_full, ["source", "stream"], "left").where(
+        F.col("_lf").isNull() | (_latest_key() >= F.col("_lf"))
+    )
+    return since.groupBy("source", "stream").agg(F.sum("records").alias("rows_live"))
+
+
 def manifest_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Upsert new per-stream stats into an existing catalog (insert if absent, else
     accumulate), as a union plus grouped re-aggregation rather than a join."""

@@ -23,7 +23,7 @@ from feedlake.sources.feed import read_feed
 
 LEDGER_DDL = (
     "run_id bigint, pipeline string, source string, stream string, started_at timestamp_ntz, "
-    "duration_seconds double, status string, records bigint, error string"
+    "duration_seconds double, status string, records bigint, error string, mode string"
 )
 # fixed value: stream name under which the feed's opaque STATE is kept in the bookmark table
 STATE_STREAM = "*"
@@ -88,11 +88,13 @@ def run(
     except Exception as e:  # noqa: BLE001 - a failed run is recorded, not raised
         res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}" if str(e) else type(e).__name__
     duration = round(time.time() - t0, 3)
+    mode = "incremental" if incremental else "full"
     if res.success:
-        rows = [(run_id, pipeline, source, s, started, duration, "success", n, None) for s, n in res.streams.items()]
-        rows = rows or [(run_id, pipeline, source, None, started, duration, "success", 0, None)]
+        rows = [(run_id, pipeline, source, s, started, duration, "success", n, None, mode)
+                for s, n in res.streams.items()]
+        rows = rows or [(run_id, pipeline, source, None, started, duration, "success", 0, None, mode)]
     else:
-        rows = [(run_id, pipeline, source, None, started, duration, "failure", 0, res.error)]
+        rows = [(run_id, pipeline, source, None, started, duration, "failure", 0, res.error, mode)]
     L.append_runs(spark.createDataFrame(rows, LEDGER_DDL), ledger_path)
     if res.success and res.last_state is not None:
         st = spark.range(1).select(

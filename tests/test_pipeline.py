@@ -61,3 +61,21 @@ def test_stream_allow_list_and_partition_by(spark, scratch):
     assert res.success and set(res.streams) == {"users"}
     assert fs.exists(spark, f"{lake}/mock/users/active=true")
     assert not fs.exists(spark, f"{lake}/mock/other")
+
+
+def test_rows_live_follows_full_and_incremental_runs(spark, scratch):
+    lake = scratch("lake")
+    feed = _feed(spark, scratch, USERS_FEED)
+    ledger = f"{lake}/_ledger"
+
+    def live():
+        return L.rows_live(L.read_ledger(spark, ledger)).first()["rows_live"]
+
+    P.run(spark, feed, lake, "mock", "p")
+    assert live() == 3
+    P.run(spark, feed, lake, "mock", "p", incremental=True, run_date="2024-05-01")
+    P.run(spark, feed, lake, "mock", "p", incremental=True, run_date="2024-05-02")
+    assert live() == 9
+    P.run(spark, feed, lake, "mock", "p")  # a full run replaces the table again
+    assert live() == 3
+    assert L.manifest_rollup(L.read_ledger(spark, ledger)).first()["total_rows"] == 12
