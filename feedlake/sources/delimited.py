@@ -4,11 +4,12 @@ S5 header cleaning, S6/S7 spreadsheet inference and casting (first 20
 non-empty values per column), S8/S9 majority inference over the first 200
 rows, S10 one reader per entity, S11 files under a prefix matched by regex.
 
-Inference is distributed: the table is unpivoted to (column, seq, value)
-and each column's sample is cut with ``row_number() <= n``, which Spark
+Inference is distributed. S6 unpivots the table to (column, seq, value)
+and cuts each column's sample with ``row_number() <= 20``, which Spark
 plans with a partial ``WindowGroupLimit`` before the shuffle (each task
-forwards at most ``n`` rows per column). Only one row per column reaches
-the driver.
+forwards at most 20 cells per column). S8 takes the first 200 rows with
+``orderBy(pos).limit(200)`` (a per-task top-k, then one small merge). Only
+one row per column reaches the driver.
 """
 
 from __future__ import annotations
