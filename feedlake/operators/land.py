@@ -48,7 +48,15 @@ def land_incremental(
     df: DataFrame, path: str, run_date: str, compression: str = "zstd", partition_col: str = "dt",
     max_records: int | None = None, extra_partitions: list[str] | None = None,
 ) -> None:
-    """K3: incremental landing into the ``dt=<run_date>`` partition, appended."""
+    """K3: incremental landing into the ``dt=<run_date>`` partition, appended.
+
+    A table last landed by a full run holds its files at the top of the folder;
+    partitioned readers would silently skip them next to ``dt=`` folders, so
+    appending partitions there is refused rather than hiding rows."""
+    if fs.has_root_files(df.sparkSession, path):
+        raise ValueError(
+            f"{path} holds a full (unpartitioned) landing; run full again or land increments elsewhere"
+        )
     out = df.withColumn(partition_col, F.lit(run_date).cast("date"))
     parts = [partition_col, *(extra_partitions or [])]
     _writer(out, compression, max_records).mode("append").partitionBy(*parts).parquet(path)

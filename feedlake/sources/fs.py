@@ -28,6 +28,14 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def has_root_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` is a folder holding visible files directly (not only sub-folders)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    return any(st.isFile() and _visible(st.getPath().getName()) for st in fs.listStatus(p))
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, s = _fs(spark, src)
     return bool(fs.rename(s, spark._jvm.org.apache.hadoop.fs.Path(dst)))

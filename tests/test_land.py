@@ -18,6 +18,14 @@ def test_full_overwrite_leaves_no_stale_rows(spark, scratch):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_incremental_after_full_is_refused(spark, scratch):
+    path = scratch("mixed")
+    K.land_full(spark.range(3), path)
+    with pytest.raises(ValueError, match="full"):
+        K.land_incremental(spark.range(2), path, "2024-01-01")
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_incremental_appends_per_run_date(spark, scratch):
     path = scratch("inc")
     K.land_incremental(spark.range(3), path, "2024-01-01")

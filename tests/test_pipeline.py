@@ -71,14 +71,15 @@ def test_rows_live_follows_full_and_incremental_runs(spark, scratch):
     def live():
         return L.rows_live(L.read_ledger(spark, ledger)).first()["rows_live"]
 
-    P.run(spark, feed, lake, "mock", "p")
-    assert live() == 3
     P.run(spark, feed, lake, "mock", "p", incremental=True, run_date="2024-05-01")
     P.run(spark, feed, lake, "mock", "p", incremental=True, run_date="2024-05-02")
-    assert live() == 9
-    P.run(spark, feed, lake, "mock", "p")  # a full run replaces the table again
+    assert live() == 6
+    P.run(spark, feed, lake, "mock", "p")  # a full run replaces the table
     assert live() == 3
-    assert L.manifest_rollup(L.read_ledger(spark, ledger)).first()["total_rows"] == 12
+    assert L.manifest_rollup(L.read_ledger(spark, ledger)).first()["total_rows"] == 9
+    refused = P.run(spark, feed, lake, "mock", "p", incremental=True)  # would hide the full landing
+    assert not refused.success and "full" in refused.error
+    assert live() == 3 and spark.read.parquet(f"{lake}/mock/users").count() == 3
 
 
 def test_table_source_runs_with_bookmarks(spark, scratch):
