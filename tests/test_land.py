@@ -111,3 +111,15 @@ def test_batched_transform_failsafe_per_batch(spark):
 
     got = T.apply_batched(df, fn).count()
     assert got == 25 + sum(1 for i in range(25, 100) if i % 2 == 0)  # first batch kept raw, the rest filtered
+
+
+def test_export_formats_round_trip(spark, scratch):
+    rep = spark.createDataFrame([("2024-01", 10.5), ("2024-02", None)], "month string, revenue double")
+    for fmt in ("csv", "json", "parquet"):
+        path = scratch(f"export_{fmt}")
+        K.export(rep, path, fmt)
+        reader = spark.read.schema("month string, revenue double")
+        back = reader.option("header", True).csv(path) if fmt == "csv" else getattr(reader, fmt)(path)
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rep.collect()), key=str)
+    with pytest.raises(ValueError):
+        K.export(rep, scratch("x"), "xml")
