@@ -3,8 +3,9 @@
 Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries"
 (seconds per query), "rows" (rows out per query), "sf", ...}. Each query is
 built and run to completion with the ``noop`` sink (every row computed,
-nothing collected) ``BENCH_RUNS`` times (default 2); the faster run counts. Feed fixtures derived from the tables are built before timing
-(input preparation, reported as ``setup_sec``). ``BENCH_QUERIES`` (comma
+nothing collected) ``BENCH_RUNS`` times (default 2); the faster run counts.
+Feed fixtures derived from the tables are built before timing (input
+preparation, reported as ``setup_sec``). ``BENCH_QUERIES`` (comma
 list) or ``BENCH_ALL=1`` widen the set.
 """
 
