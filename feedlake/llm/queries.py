@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, exact_dedup, langid, mixing, quality, secrets, toxicity, warc
+from feedlake.llm import bpe, exact_dedup, jaccard_join, langid, mixing, quality, secrets, toxicity, warc
 from feedlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,31 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.secret_scan(table(spark, sf_dir, "documents")))
 
 
+@query(
+    "op5_jaccard_components",
+    r"""
+    WITH RECURSIVE
+    w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS ws
+          FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+            ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+    n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY 1),
+    common AS (SELECT g FROM s GROUP BY 1 HAVING count(*) > 1),
+    t AS (SELECT doc_id, g FROM s SEMI JOIN common USING (g)),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id
+          GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 80 * (x.c + y.c - m)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id, doc_id AS o FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.o = e.a)
+    SELECT r.doc_id, coalesce(any_value(n.c), 0)::BIGINT AS n_shingles, min(o) AS component_id
+    FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+    """,
+)
+def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 @query("op6_quality_rules")
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
