@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, exact_dedup, jaccard_join, langid, mixing, quality, secrets, toxicity, warc
+from feedlake.llm import bpe, exact_dedup, jaccard_join, langid, mixing, quality, secrets, substring_dedup, toxicity, warc
 from feedlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,29 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+@query(
+    "op1_substring_dedup",
+    r"""
+    WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS ws
+               FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+          FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+    m AS (SELECT k, min(doc_id) AS first_id FROM g GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+    gone AS (SELECT DISTINCT doc_id, i + j AS p
+             FROM (SELECT doc_id, i FROM g JOIN m USING (k) WHERE doc_id > first_id), range(0, 13) r(j)),
+    gl AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+    SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+           sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE
+             list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(ps, i)), lambda i: ws[i]) END, ' '))
+             AS kept_sha256
+    FROM w LEFT JOIN gl USING (doc_id)
+    """,
+)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -57,7 +80,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
     WITH RECURSIVE
     w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda x: x <> '') AS ws
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda x: x <> '') AS ws
           FROM documents),
     s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
             ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
