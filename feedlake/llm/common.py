@@ -31,9 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fresh(name: str) -> str:
-    """A column or table name that no input column clashes with."""
-    return f"__{name}_{uuid.uuid4().hex[:8]}"
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` written as a table bucketed by ``key``: joins on it do not shuffle this side."""
+    spark = df.sparkSession
+    table_name = f"{name}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table_name)
+    return spark.table(table_name)
 
 
 def text_or_empty(col: Column | str = "text") -> Column:

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
-CHUNK = 1 << 20  # bytes of text whose words are in memory at once
+CHUNK = 1 << 18  # bytes of text whose words are in memory at once
 INVERSE_OF = 0xD6E8FEB86659FD93  # odd, hence invertible modulo 2**64
 
 
@@ -50,7 +50,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             out.append(np.multiply.accumulate(p))
         have = (out[0], out[1])
-        if size <= 4 * CHUNK:
+        if size <= 16 * CHUNK:
             _POWERS[0] = have
     return have
 

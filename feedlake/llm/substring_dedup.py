@@ -26,7 +26,6 @@ are judged on the input, not on what is left.
 
 from __future__ import annotations
 
-import uuid
 from itertools import compress
 
 import numpy as np
@@ -35,8 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm import spans
-from feedlake.llm.common import written
-from feedlake.session import scratch_path
+from feedlake.llm.common import bucketed, written
 
 WINDOW = 13
 LEAST = 7  # windows shorter than this repeat too often to tell anything
@@ -168,8 +166,6 @@ def _blocks(batches):
 
 def stage(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Texts as rows of about ``block_bytes`` each, in a table bucketed by block."""
-    spark = docs.sparkSession
-
     def pack(batches):
         from pyspark import TaskContext
 
@@ -185,10 +181,7 @@ def stage(docs: DataFrame, block_bytes: int) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     packed = rows.mapInArrow(pack, "block bigint, ids array<bigint>, texts array<string>")
-    name = f"substring_blocks_{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed.write.format("parquet").bucketBy(buckets, "block").option("path", scratch_path(spark, "blocks")).saveAsTable(name)
-    return spark.table(name)
+    return bucketed(packed, "blocks", "block")
 
 
 def _ask(blocks: DataFrame, window: int, level: int, n_cells: int) -> DataFrame:
