@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import BLANK_CLASS, code_points, text_or_empty, without_blanks, written
+from feedlake.llm.common import BLANK_CLASS, BLANKS, code_points, text_or_empty, written
 
 # Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -40,41 +40,48 @@ def base_stats(docs: DataFrame, *keep: str) -> DataFrame:
     more than once by the next.
     """
     text = text_or_empty()
-    split = F.filter(F.split(text, BLANK_CLASS + "+"), lambda w: w != "")
-    symbols = code_points(text) - code_points(F.translate(text, SYMBOLS, ""))
-    lines = F.filter(F.split(text, "\n"), lambda x: without_blanks(x) != "")
+    trimmed = F.btrim(text, F.lit(BLANKS))
+    split = F.when(trimmed != "", F.split(trimmed, BLANK_CLASS + "+")).otherwise(F.array().cast("array<string>"))
+    # all symbols are single bytes
+    symbols = sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in SYMBOLS), F.lit(0))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     a = docs.select(
         *keep,
         split.alias("words"),
-        code_points(without_blanks(text)).alias("word_chars"),
-        symbols.alias("n_symbols"),
+        symbols.cast("long").alias("n_symbols"),
         lines.alias("lines"),
     )
     n = F.size("words")
-    windows = F.arrays_zip(
-        F.col("words").alias("a"),
-        F.slice("words", 2, F.greatest(n - 1, F.lit(0))).alias("b"),
-        F.slice("words", 3, F.greatest(n - 2, F.lit(0))).alias("c"),
+    # a window's hash with its place in the low bits: sorting these plain numbers brings equal windows together.
+    # A text of n words leaves 64 - log2(n) bits of hash, so a false match is a matter of n**3 / 2**65
+    bits = F.ceil(F.log2(n + 1.0)).cast("int")
+    windows = F.transform(
+        F.slice("words", 1, F.greatest(n - 2, F.lit(0))),
+        lambda w, i: F.call_function("shiftleft", F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)), F.col("bits")).bitwiseOR(i.cast("long")),
     )
-    b = a.select(
+    b = a.withColumn("bits", bits)
+    b = b.select(
         *keep,
         n.cast("long").alias("n_words"),
-        "word_chars",
+        code_points(F.array_join("words", "")).alias("word_chars"),
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.filter(
-            F.transform(windows, lambda z, i: F.struct(z["a"].alias("a"), z["b"].alias("b"), z["c"].alias("c"), i.alias("i"))),
-            lambda z: z["c"].isNotNull(),
-        ).alias("windows"),
+        "bits",
+        F.sort_array(windows).alias("windows"),
     )
-    # equal windows are neighbours once sorted; i comes last, so the order is total
-    c = b.withColumn("windows", F.sort_array("windows"))
     shifted = F.slice("windows", 2, F.greatest(F.size("windows") - 1, F.lit(0)))
-    same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
-    pairs = F.zip_with("windows", shifted, lambda x, y: F.when(same(x, y), F.array(x["i"], y["i"])))
-    starts = F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
+    hash_of = lambda x: F.call_function("shiftright", x, F.col("bits"))
+    place = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1
+    pairs = F.zip_with("windows", shifted, lambda x, y: F.when(hash_of(x) == hash_of(y), F.struct(x.alias("x"), y.alias("y"))))
+    c = b.select(
+        *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        F.filter(pairs, lambda p: p.isNotNull()).alias("pairs"), place.alias("place"),
+    )
+    at = lambda end: F.transform("pairs", lambda p: p[end].bitwiseAND(F.col("place")))
+    starts = F.sort_array(F.array_distinct(F.concat(at("x"), at("y"))))
     d = c.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", starts.alias("starts"))
-    gaps = F.zip_with("starts", F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))), lambda x, y: F.least(F.coalesce(y - x, F.lit(3)), F.lit(3)))
+    later = F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0)))
+    gaps = F.zip_with("starts", later, lambda x, y: F.least(F.coalesce(y - x, F.lit(3)), F.lit(3)))
     return d.select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.aggregate(gaps, F.lit(0).cast("long"), lambda s, g: s + g).alias("n_repeat_words"),
