@@ -46,7 +46,10 @@ REPORTING = frozenset(
 
 @dataclass
 class Lexicon:
-    """Terms with weights; a term that ends in ``*`` stands for all words that begin so."""
+    """Terms with weights; a term that ends in ``*`` stands for all words that begin so.
+
+    ``fuzzy_weight`` has the terms that misspellings are looked for.
+    """
 
     weight: dict[str, float]
     fuzzy_weight: dict[str, float] = field(default_factory=dict)
@@ -56,13 +59,14 @@ class Matcher:
     """The trie of a lexicon, intersected with Levenshtein automata, as a lazily built DFA."""
 
     def __init__(self, lexicon: Lexicon):
+        self.edits: dict[str, int] = {}
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.begin: list[str | None] = [None]
         self.allowed: list[int] = [0]  # most edits of any word below the node
         for word in sorted(lexicon.weight):
             at, stem = 0, word.rstrip("*")
-            edits = 0 if word.endswith("*") else edits_for(stem)
+            edits = self.edits[word] = edits_for(stem) if word in lexicon.fuzzy_weight else 0
             self.allowed[0] = max(self.allowed[0], edits)
             for ch in stem:
                 if ch not in self.children[at]:
@@ -81,8 +85,9 @@ class Matcher:
         self.ids: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
+        self.stems: list[str | None] = []  # the beginning spelled without edits in each state
         self.start = self._state({(0, 0)})
-        self.known: dict[str, tuple[str, int] | None] = {}
+        self.known = _Known(self)
 
     def _state(self, pairs: set[tuple[int, int]]) -> int:
         # a letter of a term may be missing from the word
@@ -100,6 +105,7 @@ class Matcher:
             self.ids[key] = len(self.states)
             self.states.append(key)
             self.steps.append({})
+            self.stems.append(next((self.begin[node] for node, e in best.items() if e == 0 and self.begin[node]), None))
         return self.ids[key]
 
     def _step(self, state: int, ch: str) -> int:
@@ -113,33 +119,39 @@ class Matcher:
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its edits; a term that is a beginning needs no edits."""
         state, stem = self.start, None
-        for n, ch in enumerate(word):
-            ch = ch if ch in self.alphabet else "\0"
+        for ch in word:
             step = self.steps[state]
             if ch not in step:
-                step[ch] = self._step(state, ch)
+                step[ch] = self._step(state, ch if ch in self.alphabet else "\0")
             state = step[ch]
             if state < 0:
                 break
-            if n + 1 >= PREFIX[0]:
-                stem = next((self.begin[node] for node, e in self.states[state] if e == 0 and self.begin[node]), stem)
+            stem = self.stems[state] or stem
         found = []
         if state >= 0:
             # short terms allow fewer edits than their neighbours in the trie
-            found = [(e, self.term[node]) for node, e in self.states[state] if self.term[node] and e <= edits_for(self.term[node])]
+            found = [(e, self.term[node]) for node, e in self.states[state] if self.term[node] and e <= self.edits[self.term[node]]]
         if found and (min(found)[0] == 0 or not stem):
             e, term = min(found)
             return term, e
         return (stem, 0) if stem else None
 
-    def lookup(self, word: str) -> tuple[str, int] | None:
-        try:
-            return self.known[word]
-        except KeyError:
-            if len(self.known) > MEMO:
-                self.known.clear()
-            hit = self.known[word] = self.match(word)
-            return hit
+    def lookup(self, words: list[str]):
+        """A match or None for each word."""
+        if len(self.known) > MEMO:
+            self.known.clear()
+        return map(self.known.__getitem__, words)
+
+
+class _Known(dict):
+    """Matches of the words seen lately."""
+
+    def __init__(self, matcher: Matcher):
+        self.matcher = matcher
+
+    def __missing__(self, word: str) -> tuple[str, int] | None:
+        hit = self[word] = self.matcher.match(word)
+        return hit
 
 
 def edits_for(term: str) -> int:
@@ -152,7 +164,7 @@ FEATURES = ["abuse", "quotation", "misspelled", "density", "rate"]
 def features(text: str, matcher: Matcher, lexicon: Lexicon) -> list[float]:
     """Sums of term weights by context; see ``FEATURES``."""
     words = WORDS.findall(text.lower())
-    hits = [(i, h) for i, h in enumerate(map(matcher.lookup, words)) if h]
+    hits = [(i, h) for i, h in enumerate(matcher.lookup(words)) if h]
     if not hits:
         return [0.0] * len(FEATURES)
     marks = [i for i, w in enumerate(words) if w in MARKS]
@@ -211,16 +223,18 @@ def learn_lexicon(sample: DataFrame, least: int = 5, odds: float = 3.0, size: in
     weight = F.log(rate("n1", 1) / rate("n0", 0))
     strong = counts.filter(F.col("n1") >= least).withColumn("weight", weight).filter(F.col("weight") >= odds)
     top = strong.orderBy(F.desc("weight"), "term").limit(size).collect()  # bounded by ``size``
-    best = {r["term"]: r["weight"] for r in top}
-    # a beginning that a shorter one of about the same weight already covers adds nothing
-    kept = {}
-    for term in sorted(best, key=lambda t: (len(t.rstrip("*")), t)):
+    best = {r["term"]: (r["weight"], r["n1"]) for r in top}
+    # what a kept beginning covers adds nothing, but for words common enough to look for misspellings of
+    kept, spelled = {}, {}
+    for term in sorted(best, key=lambda t: (len(t.rstrip("*")), not t.endswith("*"), t)):
         stem = term.rstrip("*")
-        shorter = [kept[stem[:k] + "*"] for k in PREFIX if k < len(stem) + (not term.endswith("*")) and stem[:k] + "*" in kept]
-        if term.endswith("*") and shorter:
-            continue
-        kept[term] = best[term]
-    return Lexicon(kept)
+        covered = any(stem[:k] + "*" in kept for k in PREFIX if k <= len(stem))
+        often = not term.endswith("*") and best[term][1] >= 0.05 * n.get(1, 0)
+        if not covered or often:
+            kept[term] = best[term][0]
+        if often:
+            spelled[term] = best[term][0]
+    return Lexicon(kept, spelled)
 
 
 def weigh_misspellings(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
@@ -232,7 +246,7 @@ def weigh_misspellings(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
         for batch in batches:
             out: dict[str, list[int]] = {}
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hits = {h for h in map(matcher.lookup, WORDS.findall(text.lower())) if h}
+                hits = {h for h in matcher.lookup(WORDS.findall(text.lower())) if h}
                 exact = {t for t, e in hits if e == 0}
                 for term in {t for t, e in hits if e} - exact:
                     out.setdefault(term, [0, 0])[y] += 1
@@ -247,7 +261,7 @@ def weigh_misspellings(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
     rows = {r["term"]: (r["n0"], r["n1"]) for r in counts.collect()}
     odds = lambda a, b: math.log((b + 0.5) / (n.get(1, 0) + 1)) - math.log((a + 0.5) / (n.get(0, 0) + 1))
     # a misspelling never seen in a clean text of the sample still counts, by half its term's weight
-    fuzzy = {t: max(0.0, odds(*rows[t])) if t in rows else 0.5 * w for t, w in lexicon.weight.items() if not t.endswith("*")}
+    fuzzy = {t: max(0.0, odds(*rows[t])) if t in rows else 0.5 * w for t, w in lexicon.fuzzy_weight.items()}
     return Lexicon(lexicon.weight, fuzzy)
 
 
