@@ -195,6 +195,7 @@ def score(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """``doc_id, lang_pred, score`` and the columns ``keep`` of every row; only ``text`` is judged."""
+    keep = [c for c in keep if c != "doc_id"]
     cast = docs.withColumn("__text", F.coalesce(F.col("text"), F.lit(""))).withColumn("__id", F.col("doc_id").cast("long"))
     rows = cast.select("__id", "__text", *keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
