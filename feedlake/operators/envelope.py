@@ -32,11 +32,12 @@ def type_counts(env: DataFrame) -> DataFrame:
 
 
 def stream_filter(env: DataFrame, streams: Iterable[str] | None) -> DataFrame:
-    """Keep only the allowed streams (``None`` keeps all); STATE is kept."""
+    """Keep only the allowed streams (``None`` keeps all); STATE is kept, and so are
+    rejected lines, whatever stream they name, so that they are still counted."""
     if streams is None:
         return env
     allowed = list(streams)
-    return env.where(F.col("stream").isin(allowed) | (F.col("type") == "STATE"))
+    return env.where(F.col("stream").isin(allowed) | (F.col("type") == "STATE") | ~_ok())
 
 
 def records(env: DataFrame, stream: str | None = None) -> DataFrame:

@@ -106,42 +106,59 @@ def column_profile(df: DataFrame) -> DataFrame:
     return wide.select(F.stack(F.lit(len(fields)), *triples).alias("column_name", "data_type", "null_count"))
 
 
+def runs(ledger: DataFrame) -> DataFrame:
+    """One row per run in the ledger's columns: its streams joined as text, the sum of
+    their records, the run's duration and its worst status with the first error."""
+    failed = F.col("status") != "success"
+    return ledger.groupBy("pipeline", "run_id").agg(
+        F.max("source").alias("source"),
+        F.array_join(F.array_sort(F.collect_set("stream")), ",").alias("stream"),
+        F.min("started_at").alias("started_at"),
+        F.max("duration_seconds").alias("duration_seconds"),
+        F.coalesce(F.min(F.when(failed, F.col("status"))), F.min("status")).alias("status"),
+        F.sum("records").alias("records"),
+        F.min("error").alias("error"),
+    ).select(*LEDGER_COLUMNS)
+
+
 def run_totals(ledger: DataFrame) -> DataFrame:
-    """Per run (pipeline, day): total records, duration and per-stream counts as
-    ``stream=n`` text in stream order (one entry per stream of the run)."""
-    per_stream = ledger.groupBy("pipeline", to_day("started_at").alias("day"), "stream").agg(
-        F.sum("records").alias("n"), F.sum("duration_seconds").alias("d")
-    )
-    return per_stream.groupBy("pipeline", "day").agg(
+    """Per pipeline and day: total records, duration (each run once) and per-stream
+    counts as ``stream=n`` text in stream order."""
+    day = to_day("started_at").alias("day")
+    per_stream = ledger.groupBy("pipeline", day, "stream").agg(F.sum("records").alias("n"))
+    per_stream = per_stream.groupBy("pipeline", "day").agg(
         F.sum("n").alias("total_records"),
-        F.round(F.sum("d"), 3).alias("duration_seconds"),
         F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "stream", F.col("n").cast("string")))), ";")
         .alias("streams"),
     )
+    spent = runs(ledger).groupBy("pipeline", day).agg(F.round(F.sum("duration_seconds"), 3).alias("duration_seconds"))
+    return per_stream.join(spent, ["pipeline", "day"]).select(
+        "pipeline", "day", "total_records", "duration_seconds", "streams"
+    )
 
 
 def run_summary(ledger: DataFrame) -> DataFrame:
-    """Successes and failures per day."""
-    return ledger.groupBy(to_day("started_at").alias("day")).agg(
+    """Successful and failed runs per day."""
+    return runs(ledger).groupBy(to_day("started_at").alias("day")).agg(
         F.count_if(F.col("status") == "success").alias("succeeded"),
         F.count_if(F.col("status") != "success").alias("failed"),
     )
 
 
 def run_latest(ledger: DataFrame) -> DataFrame:
-    """The latest run of each pipeline (a map-side reduced ``max_by``)."""
+    """The latest run of each pipeline (a map-side reduced ``max_by`` over its runs)."""
     last = F.max_by(F.struct(*[c for c in LEDGER_COLUMNS if c != "pipeline"]), _latest_key())
-    return ledger.groupBy("pipeline").agg(last.alias("r")).select("pipeline", "r.*")
+    return runs(ledger).groupBy("pipeline").agg(last.alias("r")).select("pipeline", "r.*")
 
 
 def run_last_n(ledger: DataFrame, n: int = 10) -> DataFrame:
-    """The last ``n`` runs of each pipeline, oldest first within the pipeline.
+    """The stream rows of the last ``n`` runs of each pipeline.
 
-    ``row_number() <= n`` plans a partial ``WindowGroupLimit`` before the
-    shuffle, so a pipeline with a huge history sends at most ``n`` rows per
-    map task."""
+    The streams of a run share its rank. ``dense_rank() <= n`` plans a partial
+    ``WindowGroupLimit`` before the shuffle, so a pipeline with a huge history
+    sends at most ``n`` runs per map task."""
     w = Window.partitionBy("pipeline").orderBy(F.col("started_at").desc(), F.col("run_id").desc())
-    return ledger.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return ledger.withColumn("_rn", F.dense_rank().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def run_status(pipelines: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """The Parquet source's record view of a table.
 
-The reference re-types Parquet columns coarsely (a type name containing
-``int`` is an integer, ``float``/``double`` a number, ``bool`` a boolean,
-anything else text) and sends temporal values as ISO text. Here that view
-is an explicit projection; the default path keeps real types (D12).
+Columns are re-typed coarsely (integral types are integers, floating ones
+numbers, booleans booleans, all else text) and temporal values go as ISO
+text. That view is an explicit projection; the default path keeps real
+types (D12).
 """
 
 from __future__ import annotations
@@ -15,15 +15,19 @@ from pyspark.sql import types as T
 from feedlake.functions import iso_text, qcol
 
 
+_COARSE = (
+    ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), "integer"),
+    ((T.FloatType, T.DoubleType), "number"),
+    (T.BooleanType, "boolean"),
+)
+
+
 def coarse_type(dt: T.DataType) -> str:
-    name = dt.simpleString().lower()
-    if "int" in name:
-        return "integer"
-    if "float" in name or "double" in name:
-        return "number"
-    if "bool" in name:
-        return "boolean"
-    return "string"
+    """JSON type of a column by its Spark type class; an array goes by its elements,
+    decimals, temporal and other nested types as text."""
+    while isinstance(dt, T.ArrayType):
+        dt = dt.elementType
+    return next((name for kinds, name in _COARSE if isinstance(dt, kinds)), "string")
 
 
 def coarse_types(df: DataFrame) -> DataFrame:

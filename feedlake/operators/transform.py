@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from feedlake.operators.land import land_full
 
@@ -33,7 +34,7 @@ def apply_batched(
     rows, 10,000 by default). With ``failsafe`` a batch whose call raises or returns
     ``None`` is passed through unchanged, which needs ``schema`` equal to the input's."""
     out_schema = schema or df.schema
-    same = schema is None or schema == df.schema.simpleString()
+    same = schema is None or T.StructType.fromDDL(schema) == T.StructType.fromDDL(df.schema.simpleString()[7:-1])
 
     def run(batches):
         for pdf in batches:
@@ -60,7 +61,7 @@ def apply_failsafe(df: DataFrame, fn) -> tuple[DataFrame, str | None]:
         out.schema  # force analysis now, not at the write
         return out, None
     except Exception as e:  # noqa: BLE001
-        return df, f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
+        return df, f"{type(e).__name__}: {e}"
 
 
 def land_failsafe(df: DataFrame, fn, path: str, compression: str = "zstd") -> dict:
@@ -73,6 +74,6 @@ def land_failsafe(df: DataFrame, fn, path: str, compression: str = "zstd") -> di
             land_full(out, path, compression)
             return {"transformed": True, "error": None}
         except Exception as e:  # noqa: BLE001
-            err = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
+            err = f"{type(e).__name__}: {e}"
     land_full(df, path, compression)
     return {"transformed": False, "error": err}

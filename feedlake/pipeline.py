@@ -88,7 +88,7 @@ def run(
         res.last_state = landed.last_state
         res.success = True
     except Exception as e:  # noqa: BLE001 - a failed run is recorded, not raised
-        res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}" if str(e) else type(e).__name__
+        res.error = f"{type(e).__name__}: {e}" if str(e) else type(e).__name__
     duration = round(time.time() - t0, 3)
     mode = "incremental" if incremental else "full"
     if res.success:
@@ -157,7 +157,7 @@ def run_table(
         res.error = err  # a transform that failed at plan time: raw rows were landed
         res.success = True
     except Exception as e:  # noqa: BLE001 - a failed run is recorded, not raised
-        res.error = f"{type(e).__name__}: {str(e).splitlines()[0][:500]}" if str(e) else type(e).__name__
+        res.error = f"{type(e).__name__}: {e}" if str(e) else type(e).__name__
     duration = round(time.time() - t0, 3)
     mode = "incremental" if incremental else "full"
     status = "success" if res.success else "failure"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,13 +12,17 @@ from pyspark.sql import SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, read from ``spark.checkpoint.dir``.
 
-    On a cluster this names shared storage. Only when the session has none
-    (local tests) is a folder made and registered as the checkpoint dir.
+    On a cluster this names shared storage. Only a local session without one
+    gets a folder made and registered; elsewhere a missing setting is an error,
+    as each executor would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name shared storage on {master}")
         root = tempfile.mkdtemp(prefix="feedlake-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

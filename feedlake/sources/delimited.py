@@ -1,35 +1,28 @@
 """Delimited-text sources and their type inference.
 
-S5 header cleaning, S6/S7 spreadsheet inference and casting (first 20
-non-empty values per column), S8/S9 majority inference over the first 200
-rows, S10 one reader per entity, S11 files under a prefix matched by regex.
-
-Inference is distributed. S6 unpivots the table to (column, seq, value)
-and cuts each column's sample with ``row_number() <= 20``, which Spark
-plans with a partial ``WindowGroupLimit`` before the shuffle (each task
-forwards at most 20 cells per column). S8 takes the first 200 rows with
-``orderBy(pos).limit(200)`` (a per-task top-k, then one small merge). Only
-one row per column reaches the driver.
+S5 header cleaning, S6/S7 spreadsheet inference and casting, S8/S9 majority
+inference, S10 one reader per entity, S11 files under a prefix matched by
+regex.
+
+Both inferences read every row: one aggregate with a few buffers per column,
+no unpivot, no window. Only one row per column reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions import BOOL_TOKENS, TRUE_TOKENS, decimal_comma, qcol, strip
 
-# fixed values: sample sizes of the reference's two inference rules
-SHEET_SAMPLE = 20
-MAJORITY_SAMPLE = 200
-
 
 def read_csv(spark: SparkSession, path: str | list[str], with_pos: bool = True) -> DataFrame:
     """Header CSV as all-text columns; BOM and blanks removed from header names.
 
-    With ``with_pos`` a ``pos`` column gives the line order (file, block, row id).
+    A doubled quote inside a quoted field is one quote. With ``with_pos`` a ``pos``
+    column gives the line order (file, block, row id).
     """
-    df = spark.read.option("header", True).option("recursiveFileLookup", "true").csv(path)
+    df = spark.read.options(header=True, recursiveFileLookup="true", quote='"', escape='"').csv(path)
     clean = [c.replace("\ufeff", "").strip() for c in df.columns]
     cols = [qcol(c).alias(n) for c, n in zip(df.columns, clean)]
     if with_pos:
@@ -62,27 +55,36 @@ def _is_num(v: Column) -> Column:
     return v.rlike(_NUM_RE) & v.try_cast("double").isNotNull()
 
 
-def sheet_types(df: DataFrame, columns: list[str], order: str = "pos", sample: int = SHEET_SAMPLE) -> DataFrame:
-    """Per column, over its first ``sample`` non-empty values: all integers ->
-    integer; else all numbers after ``,``->``.`` -> number; else all boolean tokens
-    -> boolean; else (or no values) string. Returns (column_name, json_type)."""
-    cells = _long(df, columns, order).where(strip(F.coalesce(F.col("val"), F.lit(""))) != "")
-    w = Window.partitionBy("column_name").orderBy("seq")
-    first = cells.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample)
-    v = F.col("val")
-    kinds = first.groupBy("column_name").agg(
-        F.bool_and(_is_int(v)).alias("i"),
-        F.bool_and(_is_num(F.replace(v, F.lit(","), F.lit(".")))).alias("n"),
-        F.bool_and(F.lower(v).isin(*BOOL_TOKENS)).alias("b"),
-    )
-    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "column_name string, ord int")
-    typed = names.join(kinds, "column_name", "left").select(
-        "column_name",
-        "ord",
-        F.when(F.col("i"), "integer").when(F.col("n"), "number").when(F.col("b"), "boolean")
-        .otherwise("string").alias("json_type"),
-    )
-    return typed.orderBy("ord").drop("ord")
+def _per_column(df: DataFrame, columns: list[str], aggs, choose) -> DataFrame:
+    """(column_name, json_type) rows in column order, from one aggregate over all rows.
+
+    ``aggs(v)`` names the aggregates of a column's text ``v``; ``choose(a)`` makes
+    its type from their results."""
+    made = [aggs(qcol(c).cast("string")) for c in columns]
+    wide = df.agg(*[x.alias(f"{k}{i}") for i, m in enumerate(made) for k, x in m.items()])
+    pairs = []
+    for i, (c, m) in enumerate(zip(columns, made)):
+        pairs += [F.lit(c), choose({k: F.col(f"{k}{i}") for k in m})]
+    return wide.select(F.stack(F.lit(len(columns)), *pairs).alias("column_name", "json_type"))
+
+
+def sheet_types(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column, over all its non-empty values: all integers -> integer; else all
+    numbers after ``,``->``.`` -> number; else all boolean tokens -> boolean; else (or
+    no values) string. Returns (column_name, json_type)."""
+
+    def aggs(v):
+        filled = strip(F.coalesce(v, F.lit(""))) != ""
+        return {
+            "i": F.bool_and(F.when(filled, _is_int(v))),
+            "n": F.bool_and(F.when(filled, _is_num(F.replace(v, F.lit(","), F.lit("."))))),
+            "b": F.bool_and(F.when(filled, F.lower(v).isin(*BOOL_TOKENS))),
+        }
+
+    def choose(a):
+        return F.when(a["i"], "integer").when(a["n"], "number").when(a["b"], "boolean").otherwise("string")
+
+    return _per_column(df, columns, aggs, choose)
 
 
 def sheet_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -132,32 +134,26 @@ def _cell_kind(v: Column) -> Column:
     )
 
 
-def majority_types(df: DataFrame, columns: list[str], order: str = "pos", sample: int = MAJORITY_SAMPLE) -> DataFrame:
-    """Over the first ``sample`` rows, each non-empty cell is integer / number /
-    boolean / string; a column with any string is string, else its most frequent
-    kind (ties: the kind seen first), none -> string. Returns (column_name, json_type)."""
-    rows = df.orderBy(order).limit(sample)  # per-task top-k, then one merge of at most k rows per task
-    cells = _long(rows, columns, order).where(F.coalesce(F.col("val"), F.lit("")) != "")
-    counts = cells.groupBy("column_name", _cell_kind(F.col("val")).alias("kind")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq")
-    )
-    has_string = counts.groupBy("column_name").agg(F.bool_or(F.col("kind") == "string").alias("s"))
-    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("first_seq"))
-    best = (
-        counts.where(F.col("kind") != "string")
-        .withColumn("_r", F.row_number().over(w))
-        .where(F.col("_r") == 1)
-        .select("column_name", "kind")
-    )
-    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "column_name string, ord int")
-    out = names.join(has_string, "column_name", "left").join(best, "column_name", "left").select(
-        "column_name",
-        "ord",
-        F.when(F.coalesce(F.col("s"), F.lit(False)) | F.col("kind").isNull(), "string")
-        .otherwise(F.col("kind"))
-        .alias("json_type"),
-    )
-    return out.orderBy("ord").drop("ord")
+def majority_types(df: DataFrame, columns: list[str], order: str = "pos") -> DataFrame:
+    """Over all rows, each non-empty cell is integer / number / boolean / string; a
+    column with any string is string, else its most frequent kind (ties: the kind seen
+    first), none -> string. Returns (column_name, json_type)."""
+    kinds = ("integer", "number", "boolean")
+
+    def aggs(v):
+        kind = F.when(F.coalesce(v, F.lit("")) != "", _cell_kind(v))
+        out = {"s": F.count_if(kind == "string")}
+        for k in kinds:
+            out[f"n_{k}"] = F.count_if(kind == k)
+            out[f"at_{k}"] = F.min(F.when(kind == k, qcol(order)))
+        return out
+
+    def choose(a):
+        ranked = F.array(*[F.struct((-a[f"n_{k}"]).alias("n"), a[f"at_{k}"].alias("at"), F.lit(k).alias("kind")) for k in kinds])
+        best = F.array_min(F.filter(ranked, lambda r: r["n"] < 0))
+        return F.when((a["s"] > 0) | best.isNull(), "string").otherwise(best["kind"])
+
+    return _per_column(df, columns, aggs, choose)
 
 
 def majority_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -85,3 +85,20 @@ def test_incremental_and_full(spark):
     assert rows.count() == 0 and new.first()["value"] == "2024-01-01T03:00:00.000000"
     rows, _ = B.incremental(df, "s", "ts", bm, full=True)
     assert rows.count() == 5
+
+
+def test_runs_of_several_streams(spark):
+    import datetime as dt
+
+    from feedlake.operators import ledger as L
+
+    t = dt.datetime(2024, 5, 1, 8)
+    rows = [("r1", "p", "s", x, t, 14.02, ok, n, err) for x, ok, n, err in (("a", "success", 6, None), ("b", "failure", 3, "boom"), ("c", "success", 2, None))]
+    rows += [("r0", "p", "s", "a", t - dt.timedelta(hours=1), 2.0, "success", 1, None)]
+    led = spark.createDataFrame(rows, "run_id string, pipeline string, source string, stream string, started_at timestamp, duration_seconds double, status string, records bigint, error string")
+    last = L.run_latest(led).first()
+    assert (last["records"], last["duration_seconds"], last["status"], last["error"], last["stream"]) == (11, 14.02, "failure", "boom", "a,b,c")
+    assert {r["stream"] for r in L.run_last_n(led, 1).collect()} == {"a", "b", "c"}
+    total = L.run_totals(led).first()
+    assert (total["total_records"], total["duration_seconds"], total["streams"]) == (12, 16.02, "a=7;b=3;c=2")
+    assert tuple(L.run_summary(led).first())[1:] == (1, 1)

@@ -9,7 +9,7 @@ from feedlake import pipeline as P
 from feedlake.operators import ledger as L
 from feedlake.sources import fs
 
-from .test_envelope import USERS_FEED
+from .test_envelope import PROBES_FEED
 
 
 def _feed(spark, scratch, lines):
@@ -20,27 +20,27 @@ def _feed(spark, scratch, lines):
 
 def test_run_lands_table_state_and_ledger(spark, scratch):
     lake = scratch("lake")
-    res = P.run(spark, _feed(spark, scratch, USERS_FEED), lake, "mock", "users_pipe")
+    res = P.run(spark, _feed(spark, scratch, PROBES_FEED), lake, "mock", "probes_pipe")
     assert res.success and res.error is None
-    assert res.streams == {"users": 3} and res.schemas["users"] == ["id", "name", "email", "active"]
-    back = spark.read.parquet(f"{lake}/mock/users")
-    assert back.count() == 3 and back.where(F.col("email").isNull()).count() == 1
+    assert res.streams == {"probes": 3} and res.schemas["probes"] == ["tag", "site", "remark", "level"]
+    back = spark.read.parquet(f"{lake}/mock/probes")
+    assert back.count() == 3 and back.where(F.col("remark").isNull()).count() == 1
     assert "dt" not in back.columns  # full runs are not partitioned
-    assert json.loads(P.load_state(spark, lake, "users_pipe")) == {"bookmarks": {"users": {"id": 3}}}
+    assert json.loads(P.load_state(spark, lake, "probes_pipe")) == {"bookmarks": {"probes": {"tag": 3}}}
     runs = L.read_ledger(spark, f"{lake}/_ledger").collect()
-    assert [(r["stream"], r["status"], r["records"]) for r in runs] == [("users", "success", 3)]
+    assert [(r["stream"], r["status"], r["records"]) for r in runs] == [("probes", "success", 3)]
     cat = L.manifest_rollup(L.read_ledger(spark, f"{lake}/_ledger")).first()
-    assert (cat["source"], cat["stream"], cat["total_rows"], cat["extractions"]) == ("mock", "users", 3, 1)
+    assert (cat["source"], cat["stream"], cat["total_rows"], cat["extractions"]) == ("mock", "probes", 3, 1)
 
 
 def test_incremental_run_partitions_by_run_date(spark, scratch):
     lake = scratch("lake")
-    feed = _feed(spark, scratch, USERS_FEED)
+    feed = _feed(spark, scratch, PROBES_FEED)
     P.run(spark, feed, lake, "mock", "p", incremental=True, run_date="2024-05-01")
     P.run(spark, feed, lake, "mock", "p", incremental=True, run_date="2024-05-01")  # same day: appended
-    back = spark.read.parquet(f"{lake}/mock/users")
+    back = spark.read.parquet(f"{lake}/mock/probes")
     assert back.count() == 6 and [str(r["dt"]) for r in back.select("dt").distinct().collect()] == ["2024-05-01"]
-    assert fs.exists(spark, f"{lake}/mock/users/dt=2024-05-01")
+    assert fs.exists(spark, f"{lake}/mock/probes/dt=2024-05-01")
 
 
 def test_failed_run_is_recorded_without_state(spark, scratch):
@@ -56,16 +56,16 @@ def test_failed_run_is_recorded_without_state(spark, scratch):
 def test_stream_allow_list_and_partition_by(spark, scratch):
     lake = scratch("lake")
     extra = ['{"type": "RECORD", "stream": "other", "record": {"x": 1}}']
-    res = P.run(spark, _feed(spark, scratch, USERS_FEED + extra), lake, "mock", "p",
-                streams=["users"], partition_by=["active"])
-    assert res.success and set(res.streams) == {"users"}
-    assert fs.exists(spark, f"{lake}/mock/users/active=true")
+    res = P.run(spark, _feed(spark, scratch, PROBES_FEED + extra), lake, "mock", "p",
+                streams=["probes"], partition_by=["level"])
+    assert res.success and set(res.streams) == {"probes"}
+    assert fs.exists(spark, f"{lake}/mock/probes/level=0.5")
     assert not fs.exists(spark, f"{lake}/mock/other")
 
 
 def test_rows_live_follows_full_and_incremental_runs(spark, scratch):
     lake = scratch("lake")
-    feed = _feed(spark, scratch, USERS_FEED)
+    feed = _feed(spark, scratch, PROBES_FEED)
     ledger = f"{lake}/_ledger"
 
     def live():
@@ -79,7 +79,7 @@ def test_rows_live_follows_full_and_incremental_runs(spark, scratch):
     assert L.manifest_rollup(L.read_ledger(spark, ledger)).first()["total_rows"] == 9
     refused = P.run(spark, feed, lake, "mock", "p", incremental=True)  # would hide the full landing
     assert not refused.success and "full" in refused.error
-    assert live() == 3 and spark.read.parquet(f"{lake}/mock/users").count() == 3
+    assert live() == 3 and spark.read.parquet(f"{lake}/mock/probes").count() == 3
 
 
 def test_table_source_runs_with_bookmarks(spark, scratch):
