@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 
 MEMO_PIECES = 300_000  # pieces remembered per worker; the memo is emptied when full
 MEMO_BYTES = 48  # longer pieces are rare and are not remembered
-MEMO_PAIRS = 1_000_000  # compatible pairs remembered per worker
+MEMO_PAIRS = 400_000  # compatible pairs remembered per worker
 BLANK_RUN = re.compile(r" \s").search
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 
 
 class Encoder:
@@ -49,10 +49,8 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        size = max(ranks.values()) + 1
-        self.bytes_of: list[bytes] = [b""] * size
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+        self.bytes_of = tokens_of(ranks)
+        size = len(self.bytes_of)
         # a token of one byte is its own left and right part
         self.left = list(range(size))
         self.right = list(range(size))
@@ -160,9 +158,6 @@ class Encoder:
         first = b"".join(map(self.pieces.__getitem__, self.find(next(parts))))
         return first + b"".join(map(self.parts.__getitem__, parts))
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
 
 class _Pieces(dict):
     """Ids of the pieces seen lately."""
@@ -196,6 +191,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> list[bytes]:
+    """All that decoding needs: no automaton, no memos."""
+    return tokens_of(read_ranks(path))
+
+
+def decode_ids(ids: bytes, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
@@ -228,13 +241,13 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     return rows.mapInArrow(run, "doc_id bigint, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, decoded`` of ``doc_id, ids`` rows; ``decoded`` is the UTF-8 text."""
 
     def run(batches):
-        enc = encoder(path, pattern)
+        tokens = decoder(path)
         for batch in batches:
-            for keys, pairs in _slices_pairs(batch, enc):
+            for keys, pairs in _slices_pairs(batch, tokens):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int64()),
@@ -247,13 +260,34 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
 
 
-def _slices_pairs(batch: pa.RecordBatch, enc: Encoder):
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: ``encode``, then ``decode`` of its ids, in one pass over the texts.
+
+    The ids do not travel between two Python workers, so a task holds one
+    worker and one Arrow batch.
+    """
+
+    def run(batches):
+        enc, tokens = encoder(path, pattern), decoder(path)
+        for batch in batches:
+            for keys, ids in _slices(batch, lambda t: enc.encode(t or "")):
+                decoded = [decode_ids(i, tokens) for i in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
+                    ["doc_id", "ids", "decoded"],
+                )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
+
+
+def _slices_pairs(batch: pa.RecordBatch, tokens: list[bytes]):
     keys, pairs, size = [], [], 0
     for key, ids in zip(batch.column(0), batch.column(1), strict=True):
         ids = ids.as_py() or b""
         keys.append(key.as_py())
-        pairs.append((ids, enc.decode(ids)))
-        size += 2 * len(ids)
+        pairs.append((ids, decode_ids(ids, tokens)))
+        size += len(ids) + len(pairs[-1][1])
         if size >= FLUSH_BYTES:
             yield keys, pairs
             keys, pairs, size = [], [], 0

@@ -60,8 +60,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    return bpe.digest_columns(bpe.decode(ids, path, pattern))
+    return bpe.digest_columns(bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern))
 
 
 @query("op3_source_mix")
