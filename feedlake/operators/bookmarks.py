@@ -3,19 +3,25 @@
 A bookmark is one row per stream: (stream, key_column, value) with the
 value as text. The commit order of a run is data -> ledger -> bookmark,
 and the bookmark is only written after the data write succeeded (I3).
-The incremental filter ``key > bookmark`` is applied as a literal so that
+Saved bookmarks are appended with a version and the newest of each stream
+counts: a save never touches what other streams or earlier runs left, so a
+run that dies while saving loses nothing. The incremental filter ``key > bookmark`` is applied as a literal so that
 it reaches the Parquet (or JDBC) scan as a pushed filter.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedlake.functions import qcol
 from feedlake.sources import fs
 
 BOOKMARK_DDL = "stream string, key_column string, value string"
+SAVED_DDL = f"{BOOKMARK_DDL}, version bigint"
 # fixed value: text form of timestamp bookmarks
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -26,23 +32,29 @@ def _as_text(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
+def largest(df: DataFrame, key: str) -> Column:
+    """The maximum of ``key`` as bookmark text (an aggregate)."""
+    return _as_text(F.max(qcol(key)), df.schema[key].dataType)
+
+
 def bookmark_of(df: DataFrame, stream: str, key: str) -> DataFrame:
     """The bookmark a run leaves for ``stream``: the maximum of ``key`` (one row)."""
-    dt = df.schema[key].dataType
-    return df.agg(
-        F.lit(stream).alias("stream"), F.lit(key).alias("key_column"), _as_text(F.max(key), dt).alias("value")
-    )
+    return df.agg(F.lit(stream).alias("stream"), F.lit(key).alias("key_column"), largest(df, key).alias("value"))
 
 
 def save(bookmarks: DataFrame, path: str) -> None:
-    """K9: replace the bookmark table (call only after the data commit succeeded)."""
-    bookmarks.select("stream", "key_column", "value").coalesce(1).write.mode("overwrite").parquet(path)
+    """K9: store the streams' bookmarks (call only after the data commit succeeded)."""
+    out = bookmarks.select("stream", "key_column", "value", F.lit(time.time_ns()).alias("version"))
+    out.coalesce(1).write.mode("append").parquet(path)
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
-    if fs.exists(spark, path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], BOOKMARK_DDL)
+    """The newest bookmark of each stream; no rows when nothing was saved."""
+    if not fs.exists(spark, path):
+        return spark.createDataFrame([], BOOKMARK_DDL)
+    newest = F.max_by(F.struct("key_column", "value"), F.coalesce("version", F.lit(0))).alias("b")
+    saved = spark.read.schema(SAVED_DDL).parquet(path)
+    return saved.groupBy("stream").agg(newest).select("stream", "b.key_column", "b.value")
 
 
 def value_for(bookmarks: DataFrame, stream: str) -> str | None:
@@ -51,6 +63,11 @@ def value_for(bookmarks: DataFrame, stream: str) -> str | None:
     return rows[0]["value"] if rows else None
 
 
+def has_null_keys(df: DataFrame, key: str) -> bool:
+    """Whether any row has no key: such rows are above no bookmark and would never be read again."""
+    return df.schema[key].nullable and not df.where(qcol(key).isNull()).select(F.lit(1)).isEmpty()
+
+
 def newer_than(df: DataFrame, key: str, value: str | None) -> DataFrame:
     """Rows strictly newer than the bookmark (all rows when there is none)."""
     if value is None:

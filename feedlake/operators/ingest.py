@@ -22,9 +22,14 @@ def decode_stream(env: DataFrame, stream: str, schemas: dict | None = None, **po
     return decode(recs, fields, **policy)
 
 
-# partition values of the staged envelope that are not stream names
-REJECTS = "__rejects__"
-CONTROL = "__control__"
+# routes of the staged envelope; those of records carry a prefix, so no stream name can meet the others
+REJECTS = "rejects"
+CONTROL = "control"
+
+
+def route_of(stream: str) -> str:
+    return f"stream-{stream}"
+
 
 
 def stage_envelope(env: DataFrame, path: str) -> DataFrame:
@@ -34,21 +39,24 @@ def stage_envelope(env: DataFrame, path: str) -> DataFrame:
     is parsed a single time however many streams it carries."""
     route = (
         F.when(F.col("reject_reason").isNotNull(), F.lit(REJECTS))
-        .when(F.col("type") == "RECORD", F.col("stream"))
+        .when(F.col("type") == "RECORD", F.concat(F.lit(route_of("")), "stream"))
         .otherwise(F.lit(CONTROL))
     )
     rejected = F.col("reject_reason").isNotNull()
-    env.select(
+    out = env.select(
         route.alias("route"), "pos", "type", "stream", "record", "schema", "key_properties", "value",
         F.when(rejected, F.col("line")).alias("line"), "reject_reason",
-    ).write.mode("overwrite").partitionBy("route").parquet(path)
-    return env.sparkSession.read.parquet(path)
+    )
+    out.write.mode("overwrite").partitionBy("route").parquet(path)
+    # the schema is given, so that routes stay text
+    schema = T.StructType([*out.drop("route").schema.fields, T.StructField("route", T.StringType())])
+    return env.sparkSession.read.schema(schema).parquet(path)
 
 
 def staged_streams(staged: DataFrame) -> list[str]:
     """Streams with at least one record (one row per partition folder)."""
     routes = [r["route"] for r in staged.select("route").distinct().collect()]
-    return sorted(r for r in routes if r not in (REJECTS, CONTROL))
+    return sorted(r.removeprefix(route_of("")) for r in routes if r not in (REJECTS, CONTROL))
 
 
 def staged_schemas(staged: DataFrame) -> dict[str, dict]:
@@ -58,7 +66,7 @@ def staged_schemas(staged: DataFrame) -> dict[str, dict]:
 
 
 def decode_staged(staged: DataFrame, stream: str, schemas: dict, **policy) -> Decoded:
-    part = staged.where(F.col("route") == stream)
+    part = staged.where(F.col("route") == route_of(stream))
     fields = json_schema_fields(schemas[stream]["schema"]) if stream in schemas else infer_fields(part)
     return decode(part, fields, **policy)
 

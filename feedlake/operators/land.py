@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators.decode import json_schema_fields
-from feedlake.operators.ingest import CONTROL, REJECTS, decode_staged, stage_envelope, staged_schemas, staged_streams
+from feedlake.operators.ingest import (
+    CONTROL, REJECTS, decode_staged, route_of, stage_envelope, staged_schemas, staged_streams,
+)
+from feedlake.session import scratch_path
 from feedlake.sources import fs
 
 CODECS = ("zstd", "snappy", "gzip", "none")
@@ -127,6 +130,58 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def apply_failsafe(df: DataFrame, fn) -> tuple[DataFrame, str | None]:
+    """T3 at plan time: a missing transform, an exception while building the plan
+    (e.g. an unknown column) or a ``None`` result keep the raw rows."""
+    if fn is None:
+        return df, None
+    try:
+        out = fn(df)
+        if out is None:
+            return df, "transform returned None"
+        out.schema  # force analysis now, not at the write
+        return out, None
+    except Exception as e:  # noqa: BLE001
+        return df, f"{type(e).__name__}: {e}"
+
+
+def land_observed(rows: DataFrame, fn, land, *metrics: Column) -> tuple[Observation, Observation, DataFrame, str | None]:
+    """T3 in a run: land ``fn(rows)``, or the raw rows when ``fn`` fails at plan or at run time.
+
+    Returns what was observed in the write that committed (``metrics`` over the
+    raw rows, the number ``n`` of landed ones), the landed rows and the error.
+    When the raw rows cannot be landed either, that error is raised.
+    """
+    error = None
+    while True:
+        raw_obs, out_obs = Observation(), Observation()
+        seen = rows.observe(raw_obs, *metrics)
+        out, why = apply_failsafe(seen, None if error else fn)
+        error = error or why
+        out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
+        try:
+            land(out)
+            return raw_obs, out_obs, out, error
+        except Exception as e:  # noqa: BLE001 - the raw rows are tried once
+            if fn is None or error:
+                raise
+            error = f"{type(e).__name__}: {e}"
+
+
+def folder_of(stream: str) -> str:
+    """Folder name of a stream: no separators, and never one that readers skip or that holds rejects."""
+    name = stream.replace("%", "%25").replace("/", "%2F")
+    return f"%{ord(name[0]):02X}{name[1:]}" if name[0] in "_." else name
+
+
+def _reject(rows: DataFrame, path: str, n: int, keep: bool) -> None:
+    """Land ``n`` rejected rows beside those of earlier runs (``keep``) or in their place."""
+    if keep and n:
+        rows.write.mode("append").parquet(path)
+    elif n or (not keep and fs.exists(rows.sparkSession, path)):
+        rows.write.mode("overwrite").parquet(path)
+
+
 def fan_out(
     spark: SparkSession,
     env: DataFrame,
@@ -147,45 +202,48 @@ def fan_out(
     partition columns, D9). Counts are observed inside the
     write job: records in, rows decoded, rows after the transform. Rejected
     lines and quarantined records are landed under ``<root>/<source>/_rejects``
-    by a second job that only runs when there are any. A stream with a SCHEMA
+    by a second job that only runs when there are any: beside earlier ones when
+    ``run_date`` is given, else in their place. A transform that raises, at plan
+    or at run time, or returns None leaves the raw rows; the stream's ``error``
+    says so (T3). A stream with a SCHEMA
     and no rows is reported with zero rows and no files (K7).
     """
-    staged = stage_envelope(env, f"{root}/_staging/{source}")
+    staged = stage_envelope(env, scratch_path(spark, "staging"))
     schemas = staged_schemas(staged)
     present = staged_streams(staged)
     result: dict[str, dict] = {}
     bad_lines = staged.where(F.col("route") == REJECTS).select("pos", "line", "reject_reason")
     n_bad = bad_lines.count()  # reads one small partition folder
-    if n_bad:
-        bad_lines.write.mode("overwrite").parquet(f"{root}/{source}/_rejects/_lines")
+    _reject(bad_lines, f"{root}/{source}/_rejects/_lines", n_bad, bool(run_date))
     for stream in sorted(set(schemas) | set(present)):
         if stream not in present:
             fields = json_schema_fields(schemas[stream]["schema"])
             result[stream] = {"rows_raw": 0, "rows_out": 0, "rejected": 0,
-                              "columns": [f.name for f in fields], "path": None}
+                              "columns": [f.name for f in fields], "path": None, "error": None}
             continue
         dec = decode_staged(staged, stream, schemas, **policy)
-        ok_obs, out_obs = Observation(f"ok_{stream}"), Observation(f"out_{stream}")
-        rows = dec.rows.observe(ok_obs, F.count(F.lit(1)).alias("n"))
-        out = transform(rows, stream) if transform else rows
-        out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
-        path = f"{root}/{source}/{stream}"
-        if run_date:
-            land_incremental(out, path, run_date, compression, extra_partitions=partition_by)
-        elif partition_by:
-            land_partitioned_by(out, path, list(partition_by), compression)
-        else:
-            land_full(out, path, compression)
-        n_in = staged.where(F.col("route") == stream).count()  # footer-level count of one folder
+        path = f"{root}/{source}/{folder_of(stream)}"
+
+        def land(rows, path=path):
+            if run_date:
+                land_incremental(rows, path, run_date, compression, extra_partitions=partition_by)
+            elif partition_by:
+                land_partitioned_by(rows, path, list(partition_by), compression)
+            else:
+                land_full(rows, path, compression)
+
+        fn = (lambda df, stream=stream: transform(df, stream)) if transform else None
+        ok_obs, out_obs, out, error = land_observed(dec.rows, fn, land, F.count(F.lit(1)).alias("n"))
+        n_in = staged.where(F.col("route") == route_of(stream)).count()  # footer-level count of one folder
         rejected = n_in - ok_obs.get["n"]
-        if rejected:
-            dec.rejects.write.mode("overwrite").parquet(f"{root}/{source}/_rejects/{stream}")
+        _reject(dec.rejects, f"{root}/{source}/_rejects/{folder_of(stream)}", rejected, bool(run_date))
         result[stream] = {
             "rows_raw": ok_obs.get["n"],
             "rows_out": out_obs.get["n"],
             "rejected": rejected,
             "columns": out.columns,
             "path": path,
+            "error": error,
         }
     state = staged.where((F.col("route") == CONTROL) & (F.col("type") == "STATE")).agg(
         F.max_by("value", "pos").alias("v")

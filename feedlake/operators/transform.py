@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from feedlake.operators.land import land_full
+from feedlake.operators.land import apply_failsafe, land_full
 
 
 def apply_dataset(df: DataFrame, fn: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
@@ -49,21 +49,6 @@ def apply_batched(
     return df.mapInPandas(run, out_schema)
 
 
-def apply_failsafe(df: DataFrame, fn) -> tuple[DataFrame, str | None]:
-    """T3 at plan time: a missing transform, an exception while building the plan
-    (e.g. an unknown column) or a ``None`` result keep the raw rows."""
-    if fn is None:
-        return df, None
-    try:
-        out = fn(df)
-        if out is None:
-            return df, "transform returned None"
-        out.schema  # force analysis now, not at the write
-        return out, None
-    except Exception as e:  # noqa: BLE001
-        return df, f"{type(e).__name__}: {e}"
-
-
 def land_failsafe(df: DataFrame, fn, path: str, compression: str = "zstd") -> dict:
     """T3 at run time: errors raised while the transformed rows are computed only
     surface in the write job; then the raw rows are landed instead and the error

@@ -9,18 +9,18 @@ counters and the one-row STATE value.
 from __future__ import annotations
 
 import datetime as dt
+import random
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators import bookmarks as B
 from feedlake.operators import envelope as E
 from feedlake.operators import ledger as L
 from feedlake.operators import land as K
-from feedlake.operators.land import fan_out
-from feedlake.operators.transform import apply_failsafe
+from feedlake.operators.land import fan_out, land_observed
 from feedlake.sources.feed import read_feed
 
 LEDGER_DDL = (
@@ -43,6 +43,11 @@ class RunResult:
     last_state: str | None = None
 
 
+def _run_id(now: float) -> int:
+    """Grows with the start time; runs of one millisecond differ in the low bits."""
+    return int(now * 1000) << 20 | random.getrandbits(20)
+
+
 def run(
     spark: SparkSession,
     feed_path: str,
@@ -70,7 +75,7 @@ def run(
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.time()
-    run_id = int(t0 * 1000)
+    run_id = _run_id(t0)
     ledger_path = ledger_path or f"{lake_root}/_ledger"
     state_path = state_path or f"{lake_root}/_state/{pipeline}"
     res = RunResult(pipeline=pipeline, success=False)
@@ -84,6 +89,8 @@ def run(
         res.streams = {s: int(r["rows_out"]) for s, r in landed.streams.items()}
         res.streams_raw = {s: int(r["rows_raw"]) for s, r in landed.streams.items()}
         res.schemas = {s: list(r["columns"]) for s, r in landed.streams.items()}
+        errors = {s: r["error"] for s, r in landed.streams.items() if r["error"]}
+        res.error = "\n".join(f"{s}: {e}" for s, e in errors.items()) or None  # raw rows were landed there
         res.rejected_lines = landed.rejected_lines
         res.last_state = landed.last_state
         res.success = True
@@ -92,7 +99,7 @@ def run(
     duration = round(time.time() - t0, 3)
     mode = "incremental" if incremental else "full"
     if res.success:
-        rows = [(run_id, pipeline, source, s, started, duration, "success", n, None, mode)
+        rows = [(run_id, pipeline, source, s, started, duration, "success", n, errors.get(s), mode)
                 for s, n in res.streams.items()]
         rows = rows or [(run_id, pipeline, source, None, started, duration, "success", 0, None, mode)]
     else:
@@ -135,27 +142,35 @@ def run_table(
     bookmark is saved only after the data and the ledger row are written."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.time()
-    run_id = int(t0 * 1000)
+    run_id = _run_id(t0)
     ledger_path = ledger_path or f"{lake_root}/_ledger"
     bookmarks_path = bookmarks_path or f"{lake_root}/_bookmarks/{pipeline}"
     res = RunResult(pipeline=pipeline, success=False)
     new_bookmark = None
     try:
-        rows = df
+        rows, metrics = df, [F.count(F.lit(1)).alias("n")]
         if bookmark_key:
-            rows, new_bookmark = B.incremental(df, stream, bookmark_key, B.load(spark, bookmarks_path), full=full)
-        out, err = apply_failsafe(rows, transform)
-        out_obs = Observation(f"out_{run_id}")
-        out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
-        path = f"{lake_root}/{source}/{stream}"
-        if incremental:
-            K.land_incremental(out, path, run_date or started.date().isoformat(), compression)
-        else:
-            K.land_full(out, path, compression)
+            if B.has_null_keys(df, bookmark_key):
+                raise ValueError(f"{stream}.{bookmark_key} is null in some rows; no bookmark would ever reach them")
+            old = None if full else B.value_for(B.load(spark, bookmarks_path), stream)
+            rows = B.newer_than(df, bookmark_key, old)
+            # observed in the write itself: what a later read of the source shows may not have landed
+            metrics.append(B.largest(df, bookmark_key).alias("largest"))
+        path = f"{lake_root}/{source}/{K.folder_of(stream)}"
+
+        def land(out):
+            if incremental:
+                K.land_incremental(out, path, run_date or started.date().isoformat(), compression)
+            else:
+                K.land_full(out, path, compression)
+
+        raw_obs, out_obs, out, err = land_observed(rows, transform, land, *metrics)
         res.streams = {stream: int(out_obs.get["n"])}
         res.schemas = {stream: list(out.columns)}
-        res.error = err  # a transform that failed at plan time: raw rows were landed
+        res.error = err  # a transform that failed: raw rows were landed
         res.success = True
+        if bookmark_key and raw_obs.get["largest"] is not None:
+            new_bookmark = spark.createDataFrame([(stream, bookmark_key, raw_obs.get["largest"])], B.BOOKMARK_DDL)
     except Exception as e:  # noqa: BLE001 - a failed run is recorded, not raised
         res.error = f"{type(e).__name__}: {e}" if str(e) else type(e).__name__
     duration = round(time.time() - t0, 3)

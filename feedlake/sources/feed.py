@@ -62,16 +62,18 @@ def messages(lines: DataFrame) -> DataFrame:
     Columns: pos, line, type, stream, record, schema, key_properties, value,
     reject_reason. ``reject_reason`` is null for usable messages, else one of
     ``malformed`` (not JSON), ``not_object`` (JSON but not an object),
-    ``missing_type`` or ``missing_key`` (a key the message type requires).
+    ``missing_type``, ``missing_key`` (a key the message type requires, or an
+    empty stream name) or ``record_not_object``.
     A message of another type (e.g. ACTIVATE_VERSION) is kept and ignored by
     the stream operators, as the reference ignores it.
     """
     parsed = parse_once(lines, ENVELOPE_DDL)
     t = F.col("e.type")
     corrupt = F.col("e._corrupt_record").isNotNull()
+    no_stream = F.coalesce(F.col("e.stream"), F.lit("")) == ""
     missing = (
-        ((t == "RECORD") & (F.col("e.stream").isNull() | F.col("e.record").isNull()))
-        | ((t == "SCHEMA") & (F.col("e.stream").isNull() | F.col("e.schema").isNull()))
+        ((t == "RECORD") & (no_stream | F.col("e.record").isNull()))
+        | ((t == "SCHEMA") & (no_stream | F.col("e.schema").isNull()))
         | ((t == "STATE") & F.col("e.value").isNull())
     )
     reason = (
@@ -79,6 +81,7 @@ def messages(lines: DataFrame) -> DataFrame:
         .when(corrupt, F.lit("malformed"))
         .when(t.isNull(), F.lit("missing_type"))
         .when(missing, F.lit("missing_key"))
+        .when((t == "RECORD") & ~F.ltrim("e.record").startswith("{"), F.lit("record_not_object"))
     )
     return parsed.select(
         "pos",

@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from feedlake import pipeline as P
+from feedlake.operators import bookmarks as B
 from feedlake.operators import ledger as L
 from feedlake.sources import fs
 
@@ -97,3 +98,50 @@ def test_table_source_runs_with_bookmarks(spark, scratch):
     assert led.count() == 3 and L.rows_live(led).first()["rows_live"] == 10
     bad = P.run_table(spark, src, lake, "pg", "t", "tp", transform=lambda d: d.select("nope"))
     assert bad.success and "nope" in bad.error  # plan-time transform failure: raw rows landed
+
+
+def test_two_tables_of_a_pipeline_keep_their_bookmarks(spark, scratch):
+    lake = scratch("lake")
+    src = spark.range(1, 6).withColumnRenamed("id", "k")
+    for stream in ("t", "u", "t"):
+        res = P.run_table(spark, src, lake, "pg", stream, "tp", bookmark_key="k", incremental=True)
+    assert res.success and res.streams == {"t": 0}
+    assert spark.read.parquet(f"{lake}/pg/t").count() == 5
+    nulls = spark.createDataFrame([(None,), (9,)], "k bigint")
+    refused = P.run_table(spark, nulls, lake, "pg", "t", "tp", bookmark_key="k", incremental=True)
+    assert not refused.success and "null" in refused.error
+    saved = B.load(spark, f"{lake}/_bookmarks/tp").collect()
+    assert sorted((r["stream"], r["value"]) for r in saved) == [("t", "5"), ("u", "5")]
+
+
+def test_failing_transforms_land_raw_rows(spark, scratch):
+    lake = scratch("lake")
+
+    def at_plan_time(df, stream):
+        raise ValueError("no such rule")
+
+    def at_run_time(df, stream):
+        return df.withColumn("x", F.raise_error(F.lit("late")))
+
+    for transform, why in ((at_plan_time, "no such rule"), (at_run_time, "late"), (lambda df, s: None, "None")):
+        res = P.run(spark, _feed(spark, scratch, PROBES_FEED), lake, "mock", "p", transform=transform)
+        assert res.success and why in res.error and res.streams == {"probes": 3}
+        assert "x" not in spark.read.parquet(f"{lake}/mock/probes").columns
+    late = P.run_table(spark, spark.range(3), lake, "pg", "t", "tp", transform=lambda d: at_run_time(d, "t"))
+    assert late.success and "late" in late.error and spark.read.parquet(f"{lake}/pg/t").count() == 3
+    errors = [r["error"] for r in L.read_ledger(spark, f"{lake}/_ledger").collect()]
+    assert len(errors) == 4 and all(errors)
+
+
+def test_odd_stream_names_and_records_that_are_no_objects(spark, scratch):
+    lake = scratch("lake")
+    names = ["007", "08", "", "control", "__rejects__", "_hidden", "a/b"]
+    feed = [json.dumps({"type": "RECORD", "stream": n, "record": {"x": 1}}) for n in names]
+    feed.append('{"type": "RECORD", "stream": "08", "record": 5}')
+    for day in ("2024-05-01", "2024-05-02"):
+        res = P.run(spark, _feed(spark, scratch, feed), lake, "mock", "p", incremental=True, run_date=day)
+        assert res.success and res.streams == {n: 1 for n in names if n} and res.rejected_lines == 2
+    kept = spark.read.parquet(f"{lake}/mock/_rejects/_lines").groupBy("reject_reason").count().collect()
+    assert {r["reject_reason"]: r["count"] for r in kept} == {"missing_key": 2, "record_not_object": 2}
+    assert spark.read.parquet(f"{lake}/mock/a%2Fb").count() == 2
+    assert spark.read.parquet(f"{lake}/mock/%5Fhidden").count() == 2
