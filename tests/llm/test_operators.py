@@ -191,6 +191,42 @@ def test_components(docs, empty):
     assert jaccard_join.components(empty).count() == 0
 
 
+def test_components_of_cut_copies(spark):
+    """Families whose smallest id is often too long or too short for members that are similar to each other."""
+    rng, rows = random.Random(11), []
+    for _ in range(60):
+        text = words(rng, 320).split()
+        for _ in range(14):
+            n = rng.randint(60, 320)
+            at = rng.choice([0, rng.randint(0, 320 - n)])
+            rows.append(" ".join(text[at : at + n]))
+    ids = rng.sample(range(10 * len(rows)), len(rows))
+    rows = list(zip(ids, rows, strict=True))
+    sets = {i: set(spans_of(t)) for i, t in rows}
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for f in range(0, len(rows), 14):
+        family = [i for i, _ in rows[f : f + 14]]
+        for i in family:
+            for j in family:
+                both = len(sets[i] & sets[j])
+                if i < j and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                    x, y = sorted((root(i), root(j)))
+                    parent[y] = x
+    got = jaccard_join.components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: root(i) for i in ids}
+
+
+def spans_of(text):
+    w = text.split()
+    return [tuple(w[p : p + 5]) for p in range(len(w) - 4)]
+
+
 @pytest.mark.parametrize("common", [0, 40])
 def test_similar_sets_share_keys(common):
     rng = np.random.default_rng(1)
