@@ -6,9 +6,10 @@ intersected with that trie: the deterministic automaton of (trie node,
 edits spent) sets is built as texts need its transitions, so misspelled
 terms are caught at the cost of one table step per letter. Every hit is
 weighed in a window of words around it: inside quotation marks or beside a
-word that reports speech it counts as quotation, otherwise as abuse. A
-logistic model over the two, their density and the share of misspelled hits
-gives the score.
+word that reports speech it counts as quotation, otherwise as abuse, misspelled
+or not. A
+logistic model over the two, their density and the misspelled part of the
+abuse gives the score.
 
 Learning reads a bounded sample (``per_class`` texts per label, taken by
 hash of the id). Lexicon and model have a fixed size.
@@ -86,6 +87,7 @@ class Matcher:
         self.states: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.stems: list[str | None] = []  # the beginning spelled without edits in each state
+        self.near: list[tuple[int, str] | None] = []  # the nearest beginning spelled with edits
         self.start = self._state({(0, 0)})
         self.known = _Known(self)
 
@@ -106,6 +108,8 @@ class Matcher:
             self.states.append(key)
             self.steps.append({})
             self.stems.append(next((self.begin[node] for node, e in best.items() if e == 0 and self.begin[node]), None))
+            near = [(e, self.begin[node]) for node, e in best.items() if self.begin[node] and 0 < e <= self.edits[self.begin[node]]]
+            self.near.append(min(near, default=None))
         return self.ids[key]
 
     def _step(self, state: int, ch: str) -> int:
@@ -117,8 +121,8 @@ class Matcher:
         return self._state(out)
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term and its edits; a term that is a beginning needs no edits."""
-        state, stem = self.start, None
+        """The nearest term and its edits; whole words go before beginnings of the word, if both or neither need edits."""
+        state, stem, near = self.start, None, None
         for ch in word:
             step = self.steps[state]
             if ch not in step:
@@ -127,6 +131,8 @@ class Matcher:
             if state < 0:
                 break
             stem = self.stems[state] or stem
+            if self.near[state] and (near is None or self.near[state] < near):
+                near = self.near[state]
         found = []
         if state >= 0:
             # short terms allow fewer edits than their neighbours in the trie
@@ -134,7 +140,9 @@ class Matcher:
         if found and (min(found)[0] == 0 or not stem):
             e, term = min(found)
             return term, e
-        return (stem, 0) if stem else None
+        if stem:
+            return stem, 0
+        return (near[1], near[0]) if near else None
 
     def lookup(self, words: list[str]):
         """A match or None for each word."""
@@ -155,6 +163,7 @@ class _Known(dict):
 
 
 def edits_for(term: str) -> int:
+    """Most edits a term of so many letters may have."""
     return 2 if len(term) >= 9 else 1 if len(term) >= 5 else 0
 
 
@@ -164,7 +173,7 @@ FEATURES = ["abuse", "quotation", "misspelled", "density", "rate"]
 def features(text: str, matcher: Matcher, lexicon: Lexicon) -> list[float]:
     """Sums of term weights by context; see ``FEATURES``."""
     words = WORDS.findall(text.lower())
-    hits = [(i, h) for i, h in enumerate(matcher.lookup(words)) if h]
+    hits = [(i, h) for i, h in enumerate(matcher.lookup(words)) if h and (h[1] == 0 or lexicon.fuzzy_weight.get(h[0], 0.0) > 0)]
     if not hits:
         return [0.0] * len(FEATURES)
     marks = [i for i, w in enumerate(words) if w in MARKS]
@@ -172,10 +181,7 @@ def features(text: str, matcher: Matcher, lexicon: Lexicon) -> list[float]:
     crowd, at = 0, 0
     spots = [i for i, _ in hits]
     for n, (i, (term, edits)) in enumerate(hits):
-        value = lexicon.weight[term] if edits == 0 else lexicon.fuzzy_weight.get(term, 0.0)
-        if edits:
-            misspelled += value
-            continue
+        value = lexicon.fuzzy_weight[term] if edits else lexicon.weight[term]
         while spots[at] < i - WINDOW:
             at += 1
         crowd = max(crowd, n - at + 1)
@@ -186,6 +192,7 @@ def features(text: str, matcher: Matcher, lexicon: Lexicon) -> list[float]:
             quotation += value
         else:
             abuse += value
+            misspelled += value if edits else 0.0
     rate = 100 * abuse / len(words)
     return [math.log1p(v) for v in (abuse, quotation, misspelled, max(0, crowd - 1), rate)]
 
@@ -223,17 +230,16 @@ def learn_lexicon(sample: DataFrame, least: int = 5, odds: float = 3.0, size: in
     weight = F.log(rate("n1", 1) / rate("n0", 0))
     strong = counts.filter(F.col("n1") >= least).withColumn("weight", weight).filter(F.col("weight") >= odds)
     top = strong.orderBy(F.desc("weight"), "term").limit(size).collect()  # bounded by ``size``
-    best = {r["term"]: (r["weight"], r["n1"]) for r in top}
-    # what a kept beginning covers adds nothing, but for words common enough to look for misspellings of
+    best = {r["term"]: r["weight"] for r in top}
+    # what a kept beginning covers adds nothing, but for words long enough to look for misspellings of
     kept, spelled = {}, {}
     for term in sorted(best, key=lambda t: (len(t.rstrip("*")), not t.endswith("*"), t)):
         stem = term.rstrip("*")
         covered = any(stem[:k] + "*" in kept for k in PREFIX if k <= len(stem))
-        often = not term.endswith("*") and best[term][1] >= 0.05 * n.get(1, 0)
-        if not covered or often:
-            kept[term] = best[term][0]
-        if often:
-            spelled[term] = best[term][0]
+        if not covered or (not term.endswith("*") and edits_for(stem)):
+            kept[term] = best[term]
+            if edits_for(stem):
+                spelled[term] = best[term]
     return Lexicon(kept, spelled)
 
 
@@ -261,8 +267,9 @@ def weigh_misspellings(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
     rows = {r["term"]: (r["n0"], r["n1"]) for r in counts.collect()}
     odds = lambda a, b: math.log((b + 0.5) / (n.get(1, 0) + 1)) - math.log((a + 0.5) / (n.get(0, 0) + 1))
     # a misspelling never seen in a clean text of the sample still counts, by half its term's weight
-    fuzzy = {t: max(0.0, odds(*rows[t])) if t in rows else 0.5 * w for t, w in lexicon.fuzzy_weight.items()}
-    return Lexicon(lexicon.weight, fuzzy)
+    fuzzy = {t: odds(*rows[t]) if t in rows else 0.5 * w for t, w in lexicon.fuzzy_weight.items()}
+    # terms whose near matches are as common in clean texts are looked for as spelled
+    return Lexicon(lexicon.weight, {t: w for t, w in fuzzy.items() if w > 0})
 
 
 @dataclass

@@ -335,6 +335,30 @@ def test_toxicity_held_out(spark):
     assert all(r.predicted == 0 for r in toxicity.toxicity(odd, none).collect())
 
 
+def test_toxicity_of_rare_misspelled_terms(spark):
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(n))
+    terms, plain = [letters(9) for _ in range(60)], [letters(6) for _ in range(200)]
+    clean = lambda: [rng.choice(plain) for _ in range(20)]
+    rows = [(" ".join([*clean(), terms[i % 60]]), 1) for i in range(600)]  # each term in under 2 % of the toxic texts
+    rows += [(" ".join([*clean(), terms[0][:-1] + "e"] if i % 2 else clean()), 0) for i in range(600)]
+    texts = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id bigint, toxic int")
+    model = toxicity.train(texts, labels)
+    spelled = model.lexicon.fuzzy_weight
+    assert all(t in spelled for t in terms[1:]) and terms[0] not in spelled  # its near matches are in clean texts
+    wrong = [t[:1] + "e" + t[2:] for t in terms[1:]]
+    matcher = toxicity.Matcher(model.lexicon)
+    abuse, quotation, misspelled = toxicity.features(f"one two {wrong[0]} three", matcher, model.lexicon)[:3]
+    assert abuse == misspelled > 0 == quotation
+    abuse, quotation, misspelled = toxicity.features(f'he said "one {wrong[0]} two"', matcher, model.lexicon)[:3]
+    assert abuse == misspelled == 0 < quotation
+    got = toxicity.toxicity(spark.createDataFrame([(i, " ".join([*clean(), w])) for i, w in enumerate(wrong)], "doc_id bigint, text string"), model)
+    assert sum(r.predicted for r in got.collect()) >= 0.95 * len(wrong)
+    stem = toxicity.Lexicon({"vequor*": 1.0}, {"vequor*": 1.0})
+    assert [toxicity.Matcher(stem).match(w) for w in ("vequorum", "vecuorum", "vecuurum")] == [("vequor*", 0), ("vequor*", 1), None]
+
+
 def test_exact_dedup(spark, docs, empty):
     norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     groups = defaultdict(list)
