@@ -26,13 +26,14 @@ from feedlake.session import scratch_path
 SCHEMA = "text_sha256 string, keep_id bigint, keep_chars bigint, group_size bigint"
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_sha256, chars`` of every row; no text leaves its scan task."""
+def digests(docs: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, text_sha256, chars`` and the columns ``keep`` of every row; no text leaves its scan task."""
     text = text_or_empty()
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.sha2(without_blanks(text), 256).alias("text_sha256"),
         code_points(text).alias("chars"),
+        *keep,
     )
 
 
@@ -58,17 +59,18 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def add(self, docs: DataFrame) -> DataFrame:
+    def add(self, docs: DataFrame, *keep: str) -> DataFrame:
         """Take in a batch; returns its verdicts, dropped rows too.
 
-        Columns: ``doc_id, keep_id, group_size, kept, text_sha256, seen_before``.
+        Columns: ``doc_id, keep_id, group_size, kept, text_sha256, seen_before``
+        and the batch's columns ``keep``.
         Within the batch the longest original text (code points), then the
         smallest ``doc_id`` stays. A digest the index already holds keeps the
         row it kept then: ``keep_id`` names that row, ``seen_before`` is true
         and nothing of the batch is kept for it. ``group_size`` counts the
         batch's rows of the digest.
         """
-        rows = digests(docs)
+        rows = digests(docs, *keep)
         # partial aggregation leaves one row per digest and task, however many copies there are
         groups = rows.groupBy("text_sha256").agg(
             F.max(F.struct(F.col("chars"), (-F.col("doc_id")).alias("neg"))).alias("best"),
@@ -100,6 +102,7 @@ class DigestIndex:
             (~F.col("seen_before") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
             "text_sha256",
             "seen_before",
+            *keep,
         )
 
     def _append(self, new: DataFrame) -> None:
@@ -116,6 +119,6 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
-def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, index: DigestIndex | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Verdicts of ``docs`` against ``index`` (a new, empty one by default)."""
-    return (index or DigestIndex(docs.sparkSession)).add(docs)
+    return (index or DigestIndex(docs.sparkSession)).add(docs, *keep)

@@ -122,10 +122,11 @@ def schedule(targets: DataFrame, block_words: int, passes: int = 2) -> DataFrame
     ).filter(F.col("pass_no") < passes)
 
 
-def mix(docs: DataFrame, block_words: int = 64, share: float = 1.5, cap: float = 2.0) -> DataFrame:
+def mix(docs: DataFrame, block_words: int = 64, share: float = 1.5, cap: float = 2.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """Words the mix takes of every document.
 
-    Returns ``doc_id, source, size, source_size, target, taken``: ``taken``
+    Returns ``doc_id, source, size, source_size, target, taken`` and the
+    columns ``keep``, named otherwise than what is used here: ``taken``
     counts repeats, and as a block is drawn at most ``cap`` (rounded down)
     times, no document exceeds that many times its size.
     """
@@ -136,6 +137,7 @@ def mix(docs: DataFrame, block_words: int = 64, share: float = 1.5, cap: float =
             n_words(F.col("text")).alias("size"),
             # repeated rows stay apart; fixed by the write below
             F.monotonically_increasing_id().alias("row"),
+            *keep,
         ),
         "mix-sizes",
     )
@@ -166,5 +168,6 @@ def mix(docs: DataFrame, block_words: int = 64, share: float = 1.5, cap: float =
             "source_size",
             F.col("target").cast("double").alias("target"),
             F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+            *keep,
         )
     )

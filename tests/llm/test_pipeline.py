@@ -30,3 +30,38 @@ def test_stages(spark):
     assert kept[0] >= 0.98 * table(spark, SF_SMALL, "documents").count()
     assert kept[1] >= kept[2] and kept[3] == kept[4]
     assert cp.run(spark, SF_SMALL).count() == kept[-1]
+
+
+def test_stages_decide_per_row(spark):
+    """Null ids, repeated ids and whole-row copies."""
+    from collections import Counter
+
+    import corpus_pipeline as cp
+    from feedlake.llm import mixing
+
+    text = lambda n, k=60: " ".join(f"w{n}x{i}" for i in range(k))
+    rows = [(None, text(0)), (None, text(0)), (None, text(1)), (5, text(1)), (None, text(2)), (6, None), (None, "")]
+    rows += [(7, text(3))] * 3 + [(8, text(4)), (8, text(5)), (9, text(5) + " "), (4, text(4))]
+    rows += [(None, text(6)), (None, text(6, 58)), (3, text(7)), (3, text(7, 58)), (2, text(7, 59)), (2, text(8))]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id bigint, text string, source string").repartition(3)
+    got = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+
+    out = cp.exact(spark, docs, "")
+    assert out.columns == docs.columns
+    want = [(None, text(0)), (5, text(1)), (None, text(2)), (6, None), (7, text(3)), (4, text(4)), (9, text(5) + " ")]
+    want += [(None, text(6)), (None, text(6, 58)), (3, text(7)), (3, text(7, 58)), (2, text(7, 59)), (2, text(8))]
+    assert got(out) == Counter(want)
+
+    out = list(got(cp.near(spark, docs, "")).elements())
+    assert Counter(i for i, t in out if not (t or "").strip()) == Counter([6, None])  # no shingles: nothing to link by
+    out = [(i, t.strip()) for i, t in out if (t or "").strip()]
+    assert [t for i, t in out if i is None and t.startswith("w6x")] in ([text(6)], [text(6, 58)])
+    rest = [(i, t) for i, t in out if not t.startswith("w6x")]
+    want = [(None, text(0)), (5, text(1)), (None, text(2)), (7, text(3)), (4, text(4)), (8, text(5)), (2, text(7, 59)), (2, text(8))]
+    assert Counter(rest) == Counter(want)
+
+    many = spark.createDataFrame([(1 if i % 2 else None, text(i), "s") for i in range(80)], docs.schema)
+    out = got(cp.mixed(spark, many, ""))
+    assert max(out.values()) <= 2 and {i for i, _ in out} == {1, None}
+    drawn = mixing.mix(many).collect()
+    assert sum(out.values()) == sum(round(r.taken / max(r.size, 1)) for r in drawn)
