@@ -7,12 +7,13 @@ table and derives the report columns from the operator's own output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, exact_dedup, jaccard_join, langid, mixing, quality, secrets, substring_dedup, toxicity, warc
+from feedlake.llm import bpe, exact_dedup, jaccard_join, langid, merkle, mixing, quality, secrets, substring_dedup, toxicity, warc
 from feedlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,7 +38,8 @@ def remainder(n: int):
 @query(
     "op1_substring_dedup",
     r"""
-    WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS ws
+    WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS ws
                FROM documents),
     g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
           FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
@@ -154,3 +156,50 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_merkle_manifest",
+    r"""
+    WITH RECURSIVE
+    f AS (SELECT doc_id, lang, crc.c % 3 = 0 AS tampered,
+            [coalesce(strlen(x) || ':' || x, '-') FOR x IN [doc_id::VARCHAR, source, lang, n_chars::VARCHAR]].list_aggregate('string_agg', '') AS head,
+            text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS folded
+          FROM documents, LATERAL (SELECT xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+            lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda v, k: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END)),
+            4294967295::BIGINT), 4294967295::BIGINT) AS c) crc),
+    l AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            CASE WHEN tampered THEN sha256(head || coalesce(strlen(folded) || ':' || folded, '-')) END AS claimed,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS p FROM f),
+    t AS (SELECT lang, 0 AS lvl, p, leaf AS d FROM l
+          UNION ALL
+          SELECT lang, lvl + 1, p // 8, sha256(string_agg(d, '' ORDER BY p))
+          FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM t) WHERE n > 1 GROUP BY lang, lvl, p // 8),
+    s AS (SELECT lang, arg_max(d, lvl) AS subroot, max(lvl) AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS sp FROM t GROUP BY lang),
+    u AS (SELECT 0 AS lvl, sp AS p, subroot AS d FROM s
+          UNION ALL
+          SELECT lvl + 1, p // 8, sha256(string_agg(d, '' ORDER BY p))
+          FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY lvl, p // 8),
+    r AS (SELECT arg_max(d, lvl) AS root FROM u),
+    nodes AS (SELECT t.lang, t.lvl, t.p, t.d FROM t JOIN s ON t.lang IS NOT DISTINCT FROM s.lang WHERE t.lvl < s.height
+              UNION ALL SELECT s.lang, s.height + u.lvl, u.p, u.d FROM s, u WHERE u.lvl < (SELECT max(lvl) FROM u)),
+    sides AS (SELECT a.lang, a.lvl, a.p,
+                coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS lft,
+                coalesce(string_agg(b.d, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS rgt
+              FROM nodes a JOIN nodes b ON a.lang IS NOT DISTINCT FROM b.lang AND a.lvl = b.lvl AND a.p // 8 = b.p // 8
+              GROUP BY a.lang, a.lvl, a.p),
+    w AS (SELECT l.doc_id, l.lang, 0 AS lvl, l.p, coalesce(l.claimed, l.leaf) AS d, '' AS proof FROM l
+          UNION ALL
+          SELECT w.doc_id, w.lang, w.lvl + 1,
+            CASE WHEN w.lvl + 1 = s.height THEN s.sp ELSE w.p // 8 END, sha256(x.lft || w.d || x.rgt), w.proof || x.lft || x.rgt
+          FROM (SELECT w.* REPLACE (CASE WHEN s.height = 0 AND w.lvl = 0 THEN s.sp ELSE w.p END AS p) FROM w JOIN s ON w.lang IS NOT DISTINCT FROM s.lang) w
+          JOIN s ON w.lang IS NOT DISTINCT FROM s.lang
+          JOIN sides x ON x.lang IS NOT DISTINCT FROM w.lang AND x.lvl = w.lvl AND x.p = w.p),
+    e AS (SELECT doc_id, arg_max(d, lvl) AS folded_root, sha256(arg_max(proof, lvl)) AS proof_sha256 FROM w GROUP BY doc_id)
+    SELECT l.doc_id, l.leaf, s.subroot, r.root, e.proof_sha256, e.folded_root, e.folded_root = r.root AS verified
+    FROM l JOIN s ON l.lang IS NOT DISTINCT FROM s.lang JOIN e ON e.doc_id = l.doc_id, r
+    """,
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = merkle.leaf(text=F.translate("text", ascii_uppercase, ascii_lowercase))
+    return merkle.prove(table(spark, sf_dir, "documents"), claimed=F.when(remainder(3) == 0, lowered))
