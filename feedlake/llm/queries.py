@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, exact_dedup, jaccard_join, langid, merkle, mixing, quality, secrets, substring_dedup, toxicity, warc
+from feedlake.llm import bpe, embedding_dedup, exact_dedup, hard_negatives, jaccard_join, langid, merkle, mixing, quality, secrets, substring_dedup, toxicity, warc
 from feedlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,45 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = merkle.leaf(text=F.translate("text", ascii_uppercase, ascii_lowercase))
     return merkle.prove(table(spark, sf_dir, "documents"), claimed=F.when(remainder(3) == 0, lowered))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+               FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+          FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+           row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+      AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY rank <= 5
+    """,
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_embedding_dedup",
+    """
+    WITH RECURSIVE
+    e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+          AND list_cosine_similarity(a.x, b.x) >= 0.95),
+    r AS (SELECT vec_id, vec_id AS o FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.o = l.a),
+    n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+    SELECT r.vec_id, coalesce(any_value(n.n_links), 0)::BIGINT AS n_links, min(o) AS component_id, r.vec_id = min(o) AS kept
+    FROM r LEFT JOIN n USING (vec_id) GROUP BY r.vec_id
+    """,
+)
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
