@@ -32,11 +32,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """``df`` written as a table bucketed by ``key``: joins on it do not shuffle this side."""
+    """``df`` written as a table bucketed by ``key``: joins on it do not shuffle this side.
+
+    Dealt by bucket first, so that a bucket is one file; else each task would leave one per bucket it holds.
+    """
     spark = df.sparkSession
     table_name = f"{name}_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table_name)
+    df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).option("path", scratch_path(spark, name)).saveAsTable(table_name)
     return spark.table(table_name)
 
 

@@ -30,6 +30,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,9 +173,8 @@ def stage(docs: DataFrame, block_bytes: int) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-            cut = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // block_bytes, prepend=-1))
-            for a, b in zip(cut, [*cut[1:], batch.num_rows], strict=True):
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for a, b in _runs((np.cumsum(sizes) - sizes) // block_bytes):
                 lists = [pa.array([c.slice(a, b - a)], pa.list_(t)) for c, t in ((ids, pa.int64()), (texts, pa.string()))]
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists], ["block", "ids", "texts"])
                 block += 1
@@ -229,15 +229,13 @@ def _ask_last(blocks: DataFrame, window: int, n_cells: int) -> DataFrame:
         for block, ids, texts, *before in _blocks(batches):
             answers = _answers(before[0] if before else None, depth)
             _, _, key, proof, low, cell = Block(ids, texts, window).last(answers, n_cells)
-            cut = np.flatnonzero(np.diff(cell, prepend=-1))
-            if not len(cut):
-                continue
             rows = []
-            for a, b in zip(cut, [*cut[1:], len(cell)], strict=True):
+            for a, b in _runs(cell):
                 start = np.flatnonzero(np.concatenate([[True], low[a + 1 : b] != low[a : b - 1]]))
                 runs = np.diff(start, append=b - a)
                 rows.append((cell[a], block, key[a:b].astype("<u8").tobytes(), proof[a:b].tobytes(), low[a:b][start].astype("<i8").tobytes(), runs.astype("<u4").tobytes()))
-            yield spans.binary_rows(*zip(*rows, strict=True), names=["cell", "block", "keys", "proof", "ids", "runs"], kinds=[pa.int64(), pa.int64()] + [pa.binary()] * 4)
+            if rows:
+                yield spans.binary_rows(*zip(*rows, strict=True), names=["cell", "block", "keys", "proof", "ids", "runs"], kinds=[pa.int64(), pa.int64()] + [pa.binary()] * 4)
 
     def meet(table: pa.Table) -> pa.Table:
         raw = lambda name, kind: [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
@@ -276,9 +274,10 @@ def _removed(block: Block, answers: list[np.ndarray], least_of: dict[int, bytes]
     return np.cumsum(edge)[: len(block.text)] > 0
 
 
-def _runs(x: np.ndarray):
-    cut = np.flatnonzero(np.diff(x, prepend=-1))
-    return zip(cut, [*cut[1:], len(x)], strict=True)
+def _runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal values (none is negative); of nothing, no run."""
+    cut = np.flatnonzero(np.diff(x, prepend=-1)).tolist()
+    return list(zip(cut, [*cut[1:], len(x)][: len(cut)], strict=True))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -65,6 +65,30 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
+@pytest.mark.parametrize("window", [3, 13, 30])
+@pytest.mark.parametrize(
+    "texts, parts",
+    [
+        (["a b c"], 1),
+        ([f"{words(random.Random(i), 40)} only{i}" for i in range(40)], 4),  # nothing repeats
+        ([None, None, ""], 2),
+        ([words(random.Random(i % 3 if i < 12 else i), 60) for i in range(40)] + [None, "x"], 8),  # blocks with and without repeats
+    ],
+)
+def test_substring_blocks_without_repeats(spark, texts, parts, window):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(parts)
+    first, want = {}, {}
+    for i, t in enumerate(texts):
+        w = WORD.findall(t or "")
+        starts = [tuple(w[p : p + window]) for p in range(len(w) - window + 1)]
+        gone = {q for p, g in enumerate(starts) if first.get(g, i) < i for q in range(p, p + window)}
+        for g in starts:
+            first.setdefault(g, i)
+        want[i] = (len(w), len(gone))
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(df, window=window, block_bytes=400).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("window", [5, 7, 30])
 def test_substring_levels(docs, window):
     texts = {r[0]: (r[1] or "") for r in corpus()}
@@ -300,6 +324,54 @@ def test_language_held_out(spark, empty):
     assert {r.lang_pred for r in langid.identify(odd, nothing).collect()} == {"und"}
 
 
+def test_language_filters_equal_sets(spark):
+    """The filters hold every n-gram of a language's set, and others at their false-positive rate only."""
+    rng = random.Random(8)
+    tongues = {k: ["".join(rng.choice(abc) for _ in range(rng.randint(2, 9))) for _ in range(300)] for k, abc in (("x", "abcdeé"), ("y", "efghij"), ("z", "klmnoß"))}
+    text = lambda k: " ".join(rng.choice(tongues[k]) for _ in range(30)) + " 12!"
+    rows = [(i, text(k), k) for i, k in enumerate(k for k in "xyz" for _ in range(60))] + [(900, None, "x"), (901, text("x"), None), (None, text("y"), "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    model = langid.train(docs, per_language=1000, min_count=3, share=0.125)
+
+    def grams(t):
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            for n in langid.SIZES:
+                yield from (f" {w} "[i : i + n] for i in range(len(w) + 3 - n))
+
+    counts = {k: Counter(g for _, t, lang in rows if lang == k and t for g in grams(t)) for k in "xyz"}
+    rate = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
+    sets = {k: {g for g, n in counts[k].items() if n >= 3 and rate[k][g] >= 0.125 * max(rate[j].get(g, 0) for j in "xyz")} for k in "xyz"}
+    assert model.languages == ["x", "y", "z"]
+
+    def holders(g):
+        seq = np.array([ord(c) if c != " " else 0 for c in g], np.uint64)
+        h = np.full(1, len(g), np.uint64)
+        for c in seq:
+            h = h * np.uint64(0x100000001B3) + c
+        h = langid._mix(h)[0]
+        spots = [int(h >> np.uint64(20 * j)) % len(model.slices) for j in range(langid.HASHES)]
+        mask = np.bitwise_and.reduce(model.slices[spots, 0])
+        return {k for i, k in enumerate("xyz") if int(mask) >> i & 1}
+
+    every = set().union(*counts.values())
+    assert all(k in holders(g) for k in "xyz" for g in sets[k])
+    false = sum(k in holders(g) for k in "xyz" for g in every - sets[k])
+    assert false <= 3 + 3 * sum(float(model.false_rate[i]) * len(every - sets[k]) for i, k in enumerate("xyz"))
+    # the score is the corrected share of the winner's hits
+    sample = spark.createDataFrame([(i, text(k), "w") for i, k in enumerate("xyz" * 5)], "doc_id bigint, text string, score string")
+    for r in langid.identify(sample, model, "text").collect():
+        gs = list(grams(r.text))
+        share = {k: (sum(k in holders(g) for g in gs) / len(gs) - model.false_rate[i]) / (1 - model.false_rate[i]) for i, k in enumerate("xyz")}
+        assert r.lang_pred == "xyz"[r.doc_id % 3] == max("xyz", key=share.get) and r.score == pytest.approx(share[r.lang_pred])
+
+
+def test_language_sample_is_bounded(spark):
+    docs = spark.range(6000).selectExpr("if(id % 4 = 0, null, id) as doc_id", "concat('w', id) as text", "if(id % 3 = 0, 'b', 'a') as lang")
+    picked = langid.sampled(docs, 500).groupBy("lang").count().collect()
+    assert {r["lang"]: abs(r["count"] - 500) < 120 for r in picked} == {"a": True, "b": True}
+    assert langid.sampled(docs, 5000).count() == 6000  # all of what is less than asked for
+
+
 def test_matcher_equals_edit_distance():
     def distance(a, b):
         row = list(range(len(b) + 1))
