@@ -7,10 +7,11 @@ once. A text's hits per language are popcounts of those masks, corrected
 for the filter's false positives; the language with the largest corrected
 share wins, and that share is the score.
 
-Training reads a bounded sample (``per_language`` texts per language, taken
-by hash of the id, so every size of table is treated alike) and counts its
-n-grams in Spark. The model has a fixed size (``bits`` positions), so it is
-safe to hand to every task.
+Training reads a bounded sample (rows whose hash is below a threshold that
+leaves about ``per_language`` texts per language, so every size of table is
+treated alike and no task gathers them) and counts its n-grams in Spark. The
+model has a fixed size (``bits`` positions, a bit per language), so it is
+safe to hand to every task. Only texts go through Python, in slices.
 
 Defined results: null text or text without a letter is ``und`` with score
 0; a text of letters always gets a learned language (ties: the first by
@@ -20,18 +21,23 @@ gives ``und`` everywhere; whole texts are read; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from feedlake.llm.common import written
+
 SIZES = (2, 3, 4)
 HASHES = 3
 CHUNK = 1 << 19  # characters whose n-grams are in memory at once
+SLICE_BYTES = 4 << 20  # of a batch's texts that are Python strings at once
 
 
 @dataclass
@@ -110,6 +116,25 @@ def _chunks(texts: list[str]):
         yield part
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """``texts`` cut into runs of about ``SLICE_BYTES``; a longer text is one of its own."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    cut = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // SLICE_BYTES, prepend=-1)).tolist()
+    for a, b in zip(cut, [*cut[1:], len(texts)][: len(cut)], strict=True):
+        yield texts.slice(a, b - a)
+
+
+def sampled(known: DataFrame, per_language: int) -> DataFrame:
+    """``lang, text`` of about ``per_language`` rows of each language, by hash of the row; all if there are fewer."""
+    size_of = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
+    if not size_of:
+        return known.select("lang", "text").limit(0)
+    share = F.create_map(*(F.lit(x) for k, n in size_of.items() for x in (k, min(1.0, per_language / n))))
+    # ids may be null or repeat, so the text has a say too
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / (1 << 32)
+    return known.filter(drawn < F.element_at(share, F.col("lang"))).select("lang", "text")
+
+
 def train(docs: DataFrame, per_language: int = 3000, min_count: int = 4, share: float = 0.125, bits: int = 1 << 20) -> Model:
     """Learn filters from the non-null ``lang`` and ``text`` of ``docs``.
 
@@ -119,13 +144,7 @@ def train(docs: DataFrame, per_language: int = 3000, min_count: int = 4, share:
     spark = docs.sparkSession
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     known = known.filter("lang is not null and text is not null")
-    h = F.xxhash64("doc_id")
-    # a bounded number of rows per language: each task keeps that many at most before they are dealt
-    order = W.partitionBy("lang").orderBy("h", "doc_id")
-    picked = known.select("doc_id", "lang", h.alias("h")).withColumn("r", F.row_number().over(order))
-    picked = picked.filter(F.col("r") <= per_language).select("doc_id", "lang")
-    # bounded by per_language rows of two short columns per language
-    sample = known.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "text")
+    sample = sampled(known, per_language)
 
     def count(batches):
         for batch in batches:
@@ -144,6 +163,7 @@ def train(docs: DataFrame, per_language: int = 3000, min_count: int = 4, share:
                         )
 
     counts = sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = written(counts, "language-grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     total_of = {r["lang"]: r["total"] for r in totals.collect()}  # one row per language
     languages = sorted(total_of)
@@ -196,19 +216,17 @@ def score(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
 def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """``doc_id, lang_pred, score`` and the columns ``keep`` of every row; only ``text`` is judged."""
     keep = [c for c in keep if c != "doc_id"]
-    cast = docs.withColumn("__text", F.coalesce(F.col("text"), F.lit(""))).withColumn("__id", F.col("doc_id").cast("long"))
-    rows = cast.select("__id", "__text", *keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
-    def run(batches):
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
-            best, share, known = score(batch.column(1).to_pylist(), m)
+        for texts in batches:
+            parts = [(np.zeros(0, int), np.zeros(0), np.zeros(0, bool)), *(score(x.to_pylist(), m) for x in _slices(texts))]
+            best, share, known = (np.concatenate(x) for x in zip(*parts, strict=True))
             names = [m.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.string()), pa.array(np.where(known, share, 0.0)), *batch.columns[2:]],
-                ["doc_id", "lang_pred", "score", *batch.schema.names[2:]],
-            )
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.where(known, share, 0.0))], names=["lang", "share"])
 
-    fields = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    return rows.mapInArrow(run, f"doc_id bigint, lang_pred string, score double{fields}")
+    # the other columns stay in the JVM; judged once, wherever the result is filtered
+    found = F.arrow_udf(judge, "lang string, share double").asNondeterministic()
+    rows = docs.withColumn("__found", found(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__found.lang").alias("lang_pred"), F.col("__found.share").alias("score"), *keep)
