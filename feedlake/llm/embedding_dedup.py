@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.llm.common import written
-from feedlake.llm.jaccard_join import connected
+from feedlake.llm.graph import connected, stars
 
 LEAST = 0.95
 BLOCK_DIMS = 16
@@ -214,22 +214,6 @@ def _exactly(i, j, home, visit, blocks: Blocks, b: int, least: float) -> np.ndar
     return out
 
 
-def _stars(i: np.ndarray, j: np.ndarray, home_cls: np.ndarray, visit_cls: np.ndarray) -> np.ndarray:
-    """(member, smallest class) of what the pairs connect; ``i`` ascends."""
-    low_home, low_visit = home_cls.copy(), visit_cls.copy()
-    starts = np.flatnonzero(np.diff(i, prepend=-1))
-    rows = i[starts]
-    while True:
-        low_home[rows] = np.minimum(low_home[rows], np.minimum.reduceat(low_visit[j], starts))
-        before = low_visit.copy()
-        np.minimum.at(low_visit, j, low_home[i])
-        if (before == low_visit).all():
-            break
-    visited = np.unique(j)
-    stars = np.concatenate([np.stack([home_cls[rows], low_home[rows]], 1), np.stack([visit_cls[visited], low_visit[visited]], 1)])
-    return stars[stars[:, 0] != stars[:, 1]]
-
-
 def linked(tile: pa.Table, width: int, least: float, block_dims: int) -> pa.Table:
     """Links between the home rows and the visitors of one tile: ``a, b, n``.
 
@@ -286,12 +270,12 @@ def linked(tile: pa.Table, width: int, least: float, block_dims: int) -> pa.Tabl
             i, j = i[sure], j[sure]
         if len(i):
             degree += np.bincount(i, visit[3][j], len(degree)).astype(np.int64)
-            out.append(_stars(i, j, home[2], visit[2]))
-    stars = np.unique(np.concatenate(out), axis=0)
+            out.append(stars(i, j, home[2], visit[2]))
+    pairs = np.unique(np.concatenate(out), axis=0)
     some = np.flatnonzero(degree)
-    a = np.concatenate([home[2][some], stars[:, 0]])
-    b_column = pa.array(np.concatenate([np.zeros(len(some), np.int64), stars[:, 1]]), mask=np.arange(len(a)) < len(some))
-    n = np.concatenate([degree[some], np.zeros(len(stars), np.int64)])
+    a = np.concatenate([home[2][some], pairs[:, 0]])
+    b_column = pa.array(np.concatenate([np.zeros(len(some), np.int64), pairs[:, 1]]), mask=np.arange(len(a)) < len(some))
+    n = np.concatenate([degree[some], np.zeros(len(pairs), np.int64)])
     return pa.Table.from_arrays([pa.array(a), b_column, pa.array(n)], ["a", "b", "n"])
 
 

@@ -242,10 +242,52 @@ def test_components_of_cut_copies(spark):
                 if i < j and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
                     x, y = sorted((root(i), root(j)))
                     parent[y] = x
-    got = jaccard_join.components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)).collect()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    for chunk_shingles, chunk_sets in ((1 << 20, 2048), (4000, 2048), (1 << 20, 3)):  # clusters in one tile, and in many
+        got = jaccard_join.components(df, chunk_shingles=chunk_shingles, chunk_sets=chunk_sets).collect()
+        assert {r.doc_id: r.component_id for r in got} == {i: root(i) for i in ids}
+
+
+def test_components_of_edited_copies(spark):
+    """Families whose members are 60 to 95 % similar, above and below the threshold, with a passage in a third of all texts."""
+    rng, rows = random.Random(12), []
+    passage = words(rng, 50).split()
+    for f in range(30):
+        base = words(rng, rng.choice([12, 40, 90, 220])).split()
+        for _ in range(14):
+            w = list(base)
+            for _ in range(rng.randint(0, max(1, len(w) // 45))):
+                w[rng.randrange(len(w))] = f"e{rng.random()}"
+            rows.append(" ".join(w + passage if f % 3 == 0 else w))
+    ids = rng.sample(range(10 * len(rows)), len(rows))
+    rows = list(zip(ids, rows, strict=True))
+    sets = {i: set(spans_of(t)) for i, t in rows}
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    assert 30 < len({root(i) for i in ids}) < len(ids) - 30
+    got = jaccard_join.components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7), chunk_shingles=2000).collect()
     assert {r.doc_id: r.component_id for r in got} == {i: root(i) for i in ids}
 
 
+def test_shared_counts():
+    rng = np.random.default_rng(5)
+    sets_ = [np.unique(rng.integers(0, rng.choice([60, 4000]), n).astype(np.uint64)) for n in rng.integers(0, 200, 150)]
+    left, right = sets_[:70], sets_[70:]
+    want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+    assert (jaccard_join.shared_counts(left, right) == want).all()
+
+
 def spans_of(text):
     w = text.split()
     return [tuple(w[p : p + 5]) for p in range(len(w) - 4)]
