@@ -58,7 +58,8 @@ BASE = (
 EXTRA = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:[^\s:/@]{6,64}@[A-Za-z0-9.-]+"),
+    # from the user name on: every part is of any length, and no run is looked at twice
+    Rule("url_login", 2, r"(?<=://)[^\s:/@]+:[^\s:/@]{6,}@[A-Za-z0-9.-]+"),
 )
 RULES = BASE + EXTRA
 

@@ -185,6 +185,10 @@ def test_secrets(spark, empty):
         assert rows[i].base_sha256 == hashlib.sha256(text.encode()).hexdigest(), (i, rows[i].spans, text)
         assert (rows[i].n_assign, rows[i].n_access, rows[i].n_hex) == tuple(sum(f[2] == k for f in found) for k, _, _ in rules)
     assert rows[10].spans.startswith("pem:0:")
+    logins = [f"https://x:{'p' * 93}@host.org ok", f"{'s' * 40}://{'u' * 80}:secret@h", "ftp://u:short@h", "a://b:c@d://u:longenough@h"]
+    found = secrets.secret_scan(spark.createDataFrame(list(enumerate(logins)), "doc_id bigint, text string"))
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans or [] if s.kind == "url_login"] for r in found.collect()}
+    assert got == {0: [(8, 112)], 1: [(43, 132)], 2: [], 3: [(12, 26)]}
     pairs = ledger.scanned().count()
     assert ledger.scan(docs) == 0 and ledger.scanned().count() == pairs  # nothing unseen
     newer = secrets.BlobLedger(spark, ledger.path, secrets.BASE + (secrets.Rule("hex", 2, "[0-9a-f]{20,}"),))
@@ -344,11 +348,28 @@ def test_warc_round_trip(spark):
         assert r.html == (h or "") and r.payload_digest == warc.digest_of((h or "").encode()) and r.payload_bytes == len((h or "").encode())
         if i is not None:
             assert (r.record_type, r.refers_to) == (("response", None) if first[h or ""] == i else ("revisit", first[h or ""]))
+    assert records.select("record_id").distinct().count() == len(rows)
     small = warc.archive_pages(pages, min_bytes=100)
     assert {r.record_type for r in small.collect()} == {"response"}
     assert warc.archive_pages(pages.filter("false")).count() == 0
 
 
+def test_warc_repeated_and_null_ids(spark):
+    rows = [(3, "a", "x"), (3, "b", "x"), (3, "c", "other"), (None, "d", "x"), (None, "e", "x"), (4, "f", "x"), (4, "f", "x"), (9, "g", "long " * 100_000), (8, "h", "long " * 100_000)]
+    pages = spark.createDataFrame([(*r, "z", 1) for r in rows], "page_id bigint, url string, html string, record_type string, row int").repartition(4)
+    from feedlake.session import scratch_path
+
+    records = warc.read(spark, warc.write(warc.resolve(pages), scratch_path(spark, "warc-test")), payloads=True)
+    got = warc.with_payloads(records).collect()
+    assert len({r.record_id for r in got}) == len(rows)
+    assert Counter((r.page_id, r.record_type, r.refers_to) for r in got) == Counter(
+        [(3, "response", None), (3, "revisit", 3), (3, "response", None), (None, "response", None), (None, "response", None)]
+        + [(4, "revisit", 3)] * 2 + [(8, "response", None), (9, "revisit", 8)]
+    )
+    html_of = {(r[0], r[1]): r[2] for r in rows}
+    assert all(r.html == html_of[r.page_id, r.url] for r in got)
+
+
 SF = "/root/testdata/sf0.01"
 
 
