@@ -7,10 +7,14 @@ Saved bookmarks are appended with a version and the newest of each stream
 counts: a save never touches what other streams or earlier runs left, so a
 run that dies while saving loses nothing. The incremental filter ``key > bookmark`` is applied as a literal so that
 it reaches the Parquet (or JDBC) scan as a pushed filter.
+
+A feed has many streams, so its bookmarks (taken from the landed rows or from the feed's STATE) are joined to the
+envelope instead: records that are not newer than their stream's bookmark are dropped before anything is staged.
 """
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +25,10 @@ from feedlake.functions import qcol
 from feedlake.sources import fs
 
 BOOKMARK_DDL = "stream string, key_column string, value string"
-SAVED_DDL = f"{BOOKMARK_DDL}, version bigint"
+KINDED_DDL = f"{BOOKMARK_DDL}, kind string"
+SAVED_DDL = f"{KINDED_DDL}, version bigint"
+# bookmarks that are broadcast to the envelope, at most; more are joined by a shuffle
+SMALL = 10_000
 # fixed value: text form of timestamp bookmarks
 TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -37,6 +44,14 @@ def largest(df: DataFrame, key: str) -> Column:
     return _as_text(F.max(qcol(key)), df.schema[key].dataType)
 
 
+def kind_of(df: DataFrame, key: str) -> str:
+    """How values of ``key`` compare when they are text: as ``number``, ``time`` or ``text``."""
+    dt = df.schema[key].dataType
+    if isinstance(dt, T.NumericType):
+        return "number"
+    return "time" if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)) else "text"
+
+
 def bookmark_of(df: DataFrame, stream: str, key: str) -> DataFrame:
     """The bookmark a run leaves for ``stream``: the maximum of ``key`` (one row)."""
     return df.agg(F.lit(stream).alias("stream"), F.lit(key).alias("key_column"), largest(df, key).alias("value"))
@@ -44,17 +59,80 @@ def bookmark_of(df: DataFrame, stream: str, key: str) -> DataFrame:
 
 def save(bookmarks: DataFrame, path: str) -> None:
     """K9: store the streams' bookmarks (call only after the data commit succeeded)."""
-    out = bookmarks.select("stream", "key_column", "value", F.lit(time.time_ns()).alias("version"))
+    kind = F.col("kind") if "kind" in bookmarks.columns else F.lit(None).cast("string")
+    out = bookmarks.select("stream", "key_column", "value", kind.alias("kind"), F.lit(time.time_ns()).alias("version"))
     out.coalesce(1).write.mode("append").parquet(path)
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    """The newest bookmark of each stream; no rows when nothing was saved."""
+def load(spark: SparkSession, path: str, kinds: bool = False) -> DataFrame:
+    """The newest bookmark of each stream, with its kind if asked for; no rows when nothing was saved."""
     if not fs.exists(spark, path):
-        return spark.createDataFrame([], BOOKMARK_DDL)
-    newest = F.max_by(F.struct("key_column", "value"), F.coalesce("version", F.lit(0))).alias("b")
-    saved = spark.read.schema(SAVED_DDL).parquet(path)
-    return saved.groupBy("stream").agg(newest).select("stream", "b.key_column", "b.value")
+        return spark.createDataFrame([], KINDED_DDL if kinds else BOOKMARK_DDL)
+    newest = F.max_by(F.struct("key_column", "value", "kind"), F.coalesce("version", F.lit(0))).alias("b")
+    saved = spark.read.schema(SAVED_DDL).parquet(path).groupBy("stream").agg(newest)
+    return saved.select("stream", "b.key_column", "b.value", *(["b.kind"] if kinds else []))
+
+
+def from_state(state: str | None, schemas: dict[str, dict]) -> list[tuple[str, str, str, str]]:
+    """Bookmarks (stream, key, value, kind) in a feed's STATE value (JSON text, one per run).
+
+    Understood: ``{"bookmarks": {stream: mark}}`` or the streams at the top, a mark being ``{"replication_key": k,
+    "replication_key_value": v}``, ``{k: v}`` with one plain value, or a plain value where the stream has one
+    key property. Anything else is opaque and gives no bookmark.
+    """
+    try:
+        value = json.loads(state or "null")
+    except ValueError:
+        return []
+    marks = value.get("bookmarks", value) if isinstance(value, dict) else None
+    plain = lambda v: isinstance(v, (int, float, str)) and not isinstance(v, bool)
+    out = []
+    for stream, mark in (marks if isinstance(marks, dict) else {}).items():
+        about = schemas.get(stream, {})
+        if isinstance(mark, dict) and "replication_key_value" in mark:
+            found = [(mark.get("replication_key"), mark["replication_key_value"])]
+        elif isinstance(mark, dict):
+            found = list(mark.items())
+        else:
+            found = [(k, mark) for k in about.get("key_properties", [])]
+        found = [(k, v) for k, v in found if isinstance(k, str) and plain(v)]
+        if len(found) == 1:
+            key, v = found[0]
+            declared = (about.get("schema") or {}).get("properties") or {}
+            time_like = str((declared.get(key) or {}).get("format", "")).startswith("date")
+            kind = "time" if time_like else "text" if isinstance(v, str) else "number"
+            out.append((stream, key, v if isinstance(v, str) else json.dumps(v), kind))
+    return out
+
+
+def newer_records(env: DataFrame, marks: DataFrame) -> DataFrame:
+    """J3/I1 on a feed: the envelope without records that are not newer than their stream's bookmark.
+
+    ``marks`` are the streams' bookmarks with kinds. A record without a comparable key value is
+    above no bookmark and below none: it is rejected (``bookmark_key``), so that it is neither
+    lost nor landed again by every run.
+    """
+    marks = marks.select(F.col("stream").alias("_stream"), F.col("key_column").alias("_key"), F.col("value").alias("_old"), F.col("kind").alias("_kind"))
+    if marks.count() <= SMALL:
+        marks = F.broadcast(marks)
+    known = (F.col("type") == "RECORD") & F.col("reject_reason").isNull()
+    rows = env.join(marks, known & (F.col("stream") == F.col("_stream")), "left")
+    # records of other streams are not parsed
+    now = F.when(F.col("_stream").isNotNull(), F.element_at(F.from_json("record", "map<string,string>"), F.col("_key")))
+    rows = rows.withColumn("_now", now)
+
+    def above(cast):
+        return cast("_now") > cast("_old")
+
+    number = F.coalesce(above(lambda c: F.expr(f"try_cast({c} AS decimal(38,9))")), above(lambda c: F.expr(f"try_cast({c} AS double)")))
+    moment = above(lambda c: F.try_to_timestamp(F.col(c)))
+    text = above(F.col)
+    newer = F.when(F.col("_kind") == "number", number).when(F.col("_kind") == "time", moment).when(F.col("_kind") == "text", text).otherwise(F.coalesce(number, text))
+    rows = rows.withColumn("_newer", newer)
+    free = F.col("_stream").isNull()
+    rows = rows.where(free | F.col("_newer").isNull() | F.col("_newer"))
+    reason = F.when(~free & F.col("_newer").isNull(), F.lit("bookmark_key")).otherwise(F.col("reject_reason"))
+    return rows.select(*(reason.alias(c) if c == "reject_reason" else F.col(c) for c in env.columns))
 
 
 def value_for(bookmarks: DataFrame, stream: str) -> str | None:

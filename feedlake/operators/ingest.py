@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from feedlake.operators import envelope as E
 from feedlake.operators.decode import Decoded, decode, infer_fields, json_schema_fields, raw_struct
-from feedlake.sources.feed import feed_lines, parse_once, read_feed
+from feedlake.sources.feed import feed_lines, messages, parse_once, read_feed
 
 
 def decode_stream(env: DataFrame, stream: str, schemas: dict | None = None, **policy) -> Decoded:
@@ -112,4 +112,10 @@ def decode_feed(spark: SparkSession, path: str, stream: str, **policy) -> Decode
         & F.col("e._corrupt_record").isNull() & F.col("e.record").isNotNull()
     ).select("pos", "line", F.col("e.record").alias("record"))
     keep = policy.pop("keep", ())
-    return decode(recs, fields, record_col="record", text_col="line", keep=keep, **policy)
+    dec = decode(recs, fields, record_col="record", text_col="line", keep=keep, **policy)
+    # RECORD lines of the stream without a usable record: few, so they are parsed again to say why
+    odd = F.col("e._corrupt_record").isNotNull() | ((F.col("e.type") == "RECORD") & F.col("e.record").isNull())
+    odd = messages(e.where(odd).select("pos", "line"))
+    odd = odd.where((F.col("type") == "RECORD") & (F.col("stream") == stream) & F.col("reject_reason").isNotNull())
+    odd = odd.select(*keep, F.col("line").alias("record"), F.array("reject_reason").alias("errors"))
+    return Decoded(dec.rows, dec.rejects.unionByName(odd), dec.fields)

@@ -1,23 +1,27 @@
 """Landing tables in the lake (K1-K6, K8, U1) and reading them back.
 
 Lake layout follows the reference's convention:
-``<root>/<source>/<stream>/[dt=YYYY-MM-DD/]part-*.parquet``. Spark's commit
-protocol publishes a directory only when the job commits, so a failed run
-leaves nothing half-written (D11), and file names are unique per write so
-a second run on the same day appends instead of overwriting (D5).
+``<root>/<source>/<stream>/[dt=YYYY-MM-DD/[_run=<id>/]]part-*.parquet``. A
+table is replaced by writing aside and swapping (``publish.replace``), so a
+failed run leaves the old rows (D11). Increments of a run are keyed by it: a
+second run on the same day appends instead of overwriting (D5), a second
+attempt of one run takes the place of the first.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.operators.decode import json_schema_fields
+from feedlake.operators import bookmarks
+from feedlake.operators.decode import json_schema_fields, struct_type
 from feedlake.operators.ingest import (
     CONTROL, REJECTS, decode_staged, route_of, stage_envelope, staged_schemas, staged_streams,
 )
+from feedlake.operators.publish import RUN_COLUMN, replace, withdraw
 from feedlake.session import scratch_path
 from feedlake.sources import fs
 
@@ -31,6 +35,9 @@ class Landed:
     streams: dict[str, dict]
     rejected_lines: int
     last_state: str | None = None
+    schemas: dict[str, dict] = field(default_factory=dict)
+
+
 # fixed value: the reference's batch size, used as the default file bound
 BATCH_ROWS = 10_000
 
@@ -43,44 +50,54 @@ def _writer(df: DataFrame, compression: str, max_records: int | None):
 
 
 def land_full(df: DataFrame, path: str, compression: str = "zstd", max_records: int | None = None) -> None:
-    """K1/K2: full landing; the table directory is replaced, so no stale files remain."""
-    _writer(df, compression, max_records).mode("overwrite").parquet(path)
+    """K1/K2: full landing; the table is replaced as a whole, so no stale files remain (D6), and stays as it
+    was if the write fails."""
+    replace(df.sparkSession, path, lambda aside: _writer(df, compression, max_records).parquet(aside))
 
 
 def land_incremental(
     df: DataFrame, path: str, run_date: str, compression: str = "zstd", partition_col: str = "dt",
-    max_records: int | None = None, extra_partitions: list[str] | None = None,
+    max_records: int | None = None, extra_partitions: list[str] | None = None, run: str | None = None,
 ) -> None:
     """K3: incremental landing into the ``dt=<run_date>`` partition, appended.
 
+    With ``run`` the rows go below ``_run=<run>`` there, in the place of what an earlier attempt of that
+    run left, on whatever date; without, every call appends. A table holds one kind of increment.
+
     A table last landed by a full run holds its files at the top of the folder;
     partitioned readers would silently skip them next to ``dt=`` folders, so
     appending partitions there is refused rather than hiding rows."""
-    if fs.has_root_files(df.sparkSession, path):
+    spark = df.sparkSession
+    if fs.has_root_files(spark, path):
         raise ValueError(
             f"{path} holds a full (unpartitioned) landing; run full again or land increments elsewhere"
         )
-    out = df.withColumn(partition_col, F.lit(run_date).cast("date"))
-    parts = [partition_col, *(extra_partitions or [])]
-    _writer(out, compression, max_records).mode("append").partitionBy(*parts).parquet(path)
+    keyed = fs.glob(spark, f"{path}/{partition_col}=*/{RUN_COLUMN}=*")
+    if run is None and keyed or run is not None and not keyed and fs.glob(spark, f"{path}/{partition_col}=*"):
+        raise ValueError(f"{path} holds increments {'keyed by' if keyed else 'without'} run; land others elsewhere")
+    out, parts = df.withColumn(partition_col, F.lit(run_date).cast("date")), [partition_col]
+    if run is not None:
+        withdraw(spark, path, run)
+        out, parts = out.withColumn(RUN_COLUMN, F.lit(run)), [partition_col, RUN_COLUMN]
+    _writer(out, compression, max_records).mode("append").partitionBy(*parts, *(extra_partitions or [])).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A landed table with its ``dt`` and user partitions, without the run key."""
+    return spark.read.parquet(path).drop(RUN_COLUMN)
 
 
 def land_partitioned_by(df: DataFrame, path: str, cols: list[str], compression: str = "zstd") -> None:
-    """K4: landing partitioned by user columns (``partition_by``)."""
-    _writer(df, compression, None).mode("overwrite").partitionBy(*cols).parquet(path)
+    """K4: landing partitioned by user columns (``partition_by``); replaces as ``land_full`` does."""
+    replace(df.sparkSession, path, lambda aside: _writer(df, compression, None).partitionBy(*cols).parquet(aside))
 
 
 def export(df: DataFrame, path: str, fmt: str) -> None:
-    """K8: export a result as CSV (with header), JSON lines or Parquet."""
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w.option("header", True).csv(path)
-    elif fmt == "json":
-        w.json(path)
-    elif fmt == "parquet":
-        w.parquet(path)
-    else:
+    """K8: export a result as CSV (with header), JSON lines or Parquet; replaces as ``land_full`` does."""
+    if fmt not in ("csv", "json", "parquet"):
         raise ValueError(fmt)
+    options = {"header": True} if fmt == "csv" else {}
+    replace(df.sparkSession, path, lambda aside: df.write.format(fmt).options(**options).save(aside))
 
 
 def read_tree(spark: SparkSession, root: str, pattern: str = "*.parquet", schema=None,
@@ -174,12 +191,15 @@ def folder_of(stream: str) -> str:
     return f"%{ord(name[0]):02X}{name[1:]}" if name[0] in "_." else name
 
 
-def _reject(rows: DataFrame, path: str, n: int, keep: bool) -> None:
-    """Land ``n`` rejected rows beside those of earlier runs (``keep``) or in their place."""
-    if keep and n:
-        rows.write.mode("append").parquet(path)
-    elif n or (not keep and fs.exists(rows.sparkSession, path)):
-        rows.write.mode("overwrite").parquet(path)
+def _reject(rows: DataFrame, path: str, n: int, run: str | None) -> None:
+    """Land ``n`` rejected rows: of a keyed ``run`` beside those of others, else in the place of earlier ones."""
+    spark = rows.sparkSession
+    if run is not None:
+        withdraw(spark, path, run, 0)
+        if n:
+            rows.withColumn(RUN_COLUMN, F.lit(run)).write.mode("append").partitionBy(RUN_COLUMN).parquet(path)
+    elif n or fs.exists(spark, path):
+        replace(spark, path, lambda aside: rows.write.parquet(aside))
 
 
 def fan_out(
@@ -191,6 +211,8 @@ def fan_out(
     compression: str = "zstd",
     run_date: str | None = None,
     partition_by: list[str] | None = None,
+    run: str | None = None,
+    bookmark_keys: dict[str, str] | None = None,
     **policy,
 ) -> "Landed":
     """Land every stream of one feed in one run.
@@ -199,10 +221,12 @@ def fan_out(
     ``ingest.stage_envelope``); each stream is decoded from its own folder and
     landed under ``<root>/<source>/<stream>`` (replacing it, or appended into
     ``dt=<run_date>`` when ``run_date`` is given; ``partition_by`` adds user
-    partition columns, D9). Counts are observed inside the
-    write job: records in, rows decoded, rows after the transform. Rejected
+    partition columns, D9; ``run`` keys the increment, so that another attempt of
+    the run replaces it). Counts are observed inside the
+    write job: records in, rows decoded, rows after the transform, and the largest
+    value of a stream's ``bookmark_keys`` column. Rejected
     lines and quarantined records are landed under ``<root>/<source>/_rejects``
-    by a second job that only runs when there are any: beside earlier ones when
+    by a second job that only runs when there are any: beside those of other runs when
     ``run_date`` is given, else in their place. A transform that raises, at plan
     or at run time, or returns None leaves the raw rows; the stream's ``error``
     says so (T3). A stream with a SCHEMA
@@ -214,38 +238,46 @@ def fan_out(
     result: dict[str, dict] = {}
     bad_lines = staged.where(F.col("route") == REJECTS).select("pos", "line", "reject_reason")
     n_bad = bad_lines.count()  # reads one small partition folder
-    _reject(bad_lines, f"{root}/{source}/_rejects/_lines", n_bad, bool(run_date))
+    run = (run or uuid.uuid4().hex) if run_date else None
+    _reject(bad_lines, f"{root}/{source}/_rejects/_lines", n_bad, run)
     for stream in sorted(set(schemas) | set(present)):
         if stream not in present:
             fields = json_schema_fields(schemas[stream]["schema"])
-            result[stream] = {"rows_raw": 0, "rows_out": 0, "rejected": 0,
-                              "columns": [f.name for f in fields], "path": None, "error": None}
+            result[stream] = {"rows_raw": 0, "rows_out": 0, "rejected": 0, "largest": None, "kind": None,
+                              "columns": [f.name for f in fields], "schema": struct_type(fields), "path": None,
+                              "error": None}
             continue
         dec = decode_staged(staged, stream, schemas, **policy)
         path = f"{root}/{source}/{folder_of(stream)}"
 
         def land(rows, path=path):
             if run_date:
-                land_incremental(rows, path, run_date, compression, extra_partitions=partition_by)
+                land_incremental(rows, path, run_date, compression, extra_partitions=partition_by, run=run)
             elif partition_by:
                 land_partitioned_by(rows, path, list(partition_by), compression)
             else:
                 land_full(rows, path, compression)
 
         fn = (lambda df, stream=stream: transform(df, stream)) if transform else None
-        ok_obs, out_obs, out, error = land_observed(dec.rows, fn, land, F.count(F.lit(1)).alias("n"))
+        metrics, key = [F.count(F.lit(1)).alias("n")], (bookmark_keys or {}).get(stream)
+        if key:
+            metrics.append(bookmarks.largest(dec.rows, key).alias("largest"))
+        ok_obs, out_obs, out, error = land_observed(dec.rows, fn, land, *metrics)
         n_in = staged.where(F.col("route") == route_of(stream)).count()  # footer-level count of one folder
         rejected = n_in - ok_obs.get["n"]
-        _reject(dec.rejects, f"{root}/{source}/_rejects/{folder_of(stream)}", rejected, bool(run_date))
+        _reject(dec.rejects, f"{root}/{source}/_rejects/{folder_of(stream)}", rejected, run)
         result[stream] = {
             "rows_raw": ok_obs.get["n"],
             "rows_out": out_obs.get["n"],
             "rejected": rejected,
+            "largest": ok_obs.get["largest"] if key else None,
+            "kind": bookmarks.kind_of(dec.rows, key) if key else None,
             "columns": out.columns,
+            "schema": out.schema,
             "path": path,
             "error": error,
         }
     state = staged.where((F.col("route") == CONTROL) & (F.col("type") == "STATE")).agg(
         F.max_by("value", "pos").alias("v")
     ).first()
-    return Landed(result, n_bad, state["v"] if state else None)
+    return Landed(result, n_bad, state["v"] if state else None, schemas)

@@ -16,12 +16,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlake.functions import qcol, to_day
 
 LEDGER_COLUMNS = [
     "run_id", "pipeline", "source", "stream", "started_at", "duration_seconds", "status", "records", "error",
 ]
+# what a run may say of a stream besides: rows before the transform, rejected ones, landed columns
+DETAIL_COLUMNS = ["mode", "records_raw", "rejected", "columns"]
+COLUMNS_DDL = "array<struct<name:string,type:string,nullable:boolean>>"
 
 
 def _latest_key() -> Column:
@@ -31,8 +35,8 @@ def _latest_key() -> Column:
 
 def append_runs(runs: DataFrame, path: str) -> None:
     """Append run rows to the ledger table (partitioned by start day).
-    An optional ``mode`` column ('full' | 'incremental') is kept when present."""
-    cols = LEDGER_COLUMNS + (["mode"] if "mode" in runs.columns else [])
+    The columns of ``DETAIL_COLUMNS`` are kept when present; ``mode`` is 'full' or 'incremental'."""
+    cols = LEDGER_COLUMNS + [c for c in DETAIL_COLUMNS if c in runs.columns]
     (
         runs.select(*cols)
         .withColumn("run_day", to_day("started_at"))
@@ -43,22 +47,57 @@ def append_runs(runs: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*LEDGER_COLUMNS, *(["mode"] if "mode" in df.columns else []))
+    # runs of an older writer have fewer columns
+    df = spark.read.option("mergeSchema", "true").parquet(path)
+    return df.select(*LEDGER_COLUMNS, *(c for c in DETAIL_COLUMNS if c in df.columns))
+
+
+def columns_of(schema: T.StructType) -> list[tuple[str, str, bool]]:
+    """Name, type and nullability of a landed table's columns, as a ledger row holds them."""
+    return [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]
 
 
 def manifest_rollup(ledger: DataFrame) -> DataFrame:
     """Per (source, stream) over successful runs: total rows, extractions,
-    last extraction time and its row count. Streams with zero rows stay (K7)."""
+    last extraction time, its row count and, where the ledger has them, its columns.
+    Streams with zero rows stay (K7)."""
     ok = ledger.where(F.col("status") == "success")
+    columns = [F.max_by("columns", _latest_key()).alias("columns")] if "columns" in ledger.columns else []
     return ok.groupBy("source", "stream").agg(
         F.sum("records").alias("total_rows"),
         F.count(F.lit(1)).alias("extractions"),
         F.max("started_at").alias("last_extraction"),
         F.max_by("records", _latest_key()).alias("last_extraction_rows"),
+        *columns,
     )
 
 
+def manifest_listing(ledger: DataFrame) -> DataFrame:
+    """One row per column of every table, as its last successful run landed it."""
+    last = manifest_rollup(ledger).select("source", "stream", F.posexplode("columns").alias("position", "c"))
+    return last.select("source", "stream", "position", "c.name", "c.type", "c.nullable")
+
+
+def schema_drift(ledger: DataFrame) -> DataFrame:
+    """T4: what changed in a table's columns from one successful run to the next.
+
+    ``run_id, source, stream, name, change, old_type, new_type``; ``change`` is added, removed, type or
+    nullable. Runs are compared within a table's own history, a few columns each."""
+    ok = ledger.where((F.col("status") == "success") & F.col("columns").isNotNull())
+    before = Window.partitionBy("source", "stream").orderBy("started_at", "run_id")
+    both = ok.withColumn("old", F.lag("columns").over(before)).where("old is not null and old <> columns")
+    as_map = lambda c: F.map_from_entries(F.transform(c, lambda x: F.struct(x["name"], F.struct(x["type"], x["nullable"]))))
+    names = F.array_union(F.transform("old", lambda x: x["name"]), F.transform("columns", lambda x: x["name"]))
+    rows = both.select("run_id", "source", "stream", F.explode(names).alias("name"), as_map("old").alias("o"), as_map("columns").alias("n"))
+    rows = rows.select("run_id", "source", "stream", "name", F.element_at("o", F.col("name")).alias("o"), F.element_at("n", F.col("name")).alias("n"))
+    change = (
+        F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed")
+        .when(F.col("o.type") != F.col("n.type"), "type").when(F.col("o.nullable") != F.col("n.nullable"), "nullable")
+    )
+    rows = rows.withColumn("change", change).where("change is not null")
+    return rows.select("run_id", "source", "stream", "name", "change", F.col("o.type").alias("old_type"), F.col("n.type").alias("new_type"))
+
+
 def rows_live(ledger: DataFrame) -> DataFrame:
     """Rows currently in each table, as opposed to ``total_rows`` (rows ever landed).
 
@@ -108,17 +147,29 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 def runs(ledger: DataFrame) -> DataFrame:
     """One row per run in the ledger's columns: its streams joined as text, the sum of
-    their records, the run's duration and its worst status with the first error."""
+    their records, the run's duration and its worst status with the first error. Of a
+    run that was tried again (same id) the last attempt counts."""
     failed = F.col("status") != "success"
-    return ledger.groupBy("pipeline", "run_id").agg(
+    tries = ledger.groupBy("pipeline", "run_id", "started_at").agg(
         F.max("source").alias("source"),
         F.array_join(F.array_sort(F.collect_set("stream")), ",").alias("stream"),
-        F.min("started_at").alias("started_at"),
         F.max("duration_seconds").alias("duration_seconds"),
         F.coalesce(F.min(F.when(failed, F.col("status"))), F.min("status")).alias("status"),
         F.sum("records").alias("records"),
         F.min("error").alias("error"),
-    ).select(*LEDGER_COLUMNS)
+    )
+    rest = [c for c in LEDGER_COLUMNS if c not in ("pipeline", "run_id")]
+    last = tries.groupBy("pipeline", "run_id").agg(F.max_by(F.struct(*rest), "started_at").alias("r"))
+    return last.select("pipeline", "run_id", "r.*").select(*LEDGER_COLUMNS)
+
+
+def totals_by_run(ledger: DataFrame) -> DataFrame:
+    """Per run: total records, duration and per-stream counts as ``stream=n`` text in stream order."""
+    counts = ledger.groupBy("run_id", "started_at", "stream").agg(F.sum("records").alias("n"))
+    part = F.concat_ws("=", "stream", F.col("n").cast("string"))
+    counts = counts.groupBy("run_id", "started_at").agg(F.array_join(F.array_sort(F.collect_list(part)), ";").alias("streams"))
+    all_runs = runs(ledger).select("run_id", "pipeline", "started_at", "status", F.col("records").alias("total_records"), "duration_seconds")
+    return all_runs.join(counts, ["run_id", "started_at"])
 
 
 def run_totals(ledger: DataFrame) -> DataFrame:
@@ -146,9 +197,10 @@ def run_summary(ledger: DataFrame) -> DataFrame:
 
 
 def run_latest(ledger: DataFrame) -> DataFrame:
-    """The latest run of each pipeline (a map-side reduced ``max_by`` over its runs)."""
-    last = F.max_by(F.struct(*[c for c in LEDGER_COLUMNS if c != "pipeline"]), _latest_key())
-    return runs(ledger).groupBy("pipeline").agg(last.alias("r")).select("pipeline", "r.*")
+    """The latest run of each pipeline. Only its rows are summed up: the others are
+    dropped before the shuffle (``run_last_n``)."""
+    rest = [c for c in LEDGER_COLUMNS if c != "pipeline"]
+    return runs(run_last_n(ledger, 1)).select("pipeline", *rest)
 
 
 def run_last_n(ledger: DataFrame, n: int = 10) -> DataFrame:

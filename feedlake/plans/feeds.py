@@ -245,7 +245,24 @@ def _multi_stream(spark, sf_dir):
     return [heads, body, state_line(s, "supplier", "s_suppkey")]
 
 
+def _growing(whole: bool):
+    """events (bookmarked by its STATE) and supplier (without one): the lower half of the keys, or all."""
+
+    def build(spark, sf_dir):
+        ev, su = table(spark, sf_dir, "events"), table(spark, sf_dir, "supplier")
+        heads = _lines(spark, [schema_line("events", spark_to_json_schema(ev.schema), ["event_id"]),
+                               schema_line("supplier", spark_to_json_schema(su.schema), ["s_suppkey"])])
+        if not whole:
+            ev, su = (t.where(F.col(k) * 2 <= t.agg(F.max(k)).first()[0]) for t, k in ((ev, "event_id"), (su, "s_suppkey")))
+        body = record_lines(ev, "events").unionByName(record_lines(su, "supplier"))
+        return [heads, body, state_line(ev, "events", "event_id")]
+
+    return build
+
+
 VARIANTS = {
+    "growing_half": (_growing(False), ["events", "supplier"]),
+    "growing_all": (_growing(True), ["events", "supplier"]),
     "lineitem": (_clean("lineitem", "l_orderkey", ["l_orderkey", "l_linenumber"]), ["lineitem"]),
     "orders": (_clean("orders", "o_orderkey", ["o_orderkey"]), ["orders"]),
     "embeddings": (_clean("embeddings", "vec_id", ["vec_id"]), ["embeddings"]),

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from feedlake import pipeline as P
 from feedlake.operators import curate as R
 from feedlake.operators import land as K
+from feedlake.operators.publish import RUN_COLUMN
 from feedlake.plans.feeds import EMPTY_STREAM, fixture, table
 from feedlake.plans.q_ledger import MIDPOINT_SQL, midpoint, ntz
 from feedlake.plans.registry import query
@@ -49,6 +51,67 @@ def land_full(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("land_keeps_old", "SELECT * FROM orders")
+def land_keeps_old(spark, sf_dir):
+    """A replacement whose write fails leaves every old row in place."""
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "keeps")
+    K.land_full(o, path)
+    late = F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("the write fails"))).cast("bigint")
+    try:
+        K.land_full(o.withColumn("o_custkey", late), path)
+    except Exception as e:  # noqa: BLE001 - the failure is the point
+        if "the write fails" not in str(e):
+            raise
+    return spark.read.parquet(path)
+
+
+@query(
+    "land_retry",
+    "SELECT event_type, count(*) * CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS n_rows FROM events GROUP BY 1",
+)
+def land_retry(spark, sf_dir):
+    """K3: a run that died half-way is tried again the next day and has each row once; a new run appends."""
+    ev = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "retry")
+    K.land_incremental(ev.where("event_type = 'view'"), path, "2024-01-01", run="first")
+    K.land_incremental(ev, path, "2024-01-02", run="first")
+    K.land_incremental(ev.where("event_type = 'error'"), path, "2024-01-02", run="second")
+    return K.read_table(spark, path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_KEYS = {"events": "event_id", "supplier": "s_suppkey"}
+_STATE_SQL = " UNION ALL ".join(
+    f"SELECT {run} AS run, '{t}' AS stream, count(*) AS n_rows, min({k}) AS lo, max({k}) AS hi "
+    f"FROM {t} WHERE {cond.format(k=k, t=t)}"
+    for t, k in _KEYS.items()
+    for run, cond in ((1, "{k} * 2 <= (SELECT max({k}) FROM {t})"), (2, "{k} * 2 > (SELECT max({k}) FROM {t})"), (3, "true"))
+)
+
+
+@query("feed_state_runs", _STATE_SQL)
+def feed_state_runs(spark, sf_dir):
+    """J3/I1/I2 on a feed: the second run gets every record again and lands only those above the saved
+    bookmarks (one of the STATE, one of the landed rows); a forced full run lands all."""
+    lake = scratch_path(spark, "lake")
+    how = {"incremental": True, "bookmark_keys": {"supplier": "s_suppkey"}}
+    ids = []
+    for variant, more in (("growing_half", {}), ("growing_all", {}), ("growing_all", {"full": True})):
+        res = P.run(spark, fixture(spark, sf_dir, variant), lake, "src", "growing", **how, **more)
+        if not res.success:
+            raise RuntimeError(res.error)
+        ids.append(res.run_id)
+    nth = F.create_map(*(F.lit(x) for n, i in enumerate(ids, 1) for x in (str(i), n)))
+    out = None
+    for stream, key in _KEYS.items():
+        rows = spark.read.parquet(f"{lake}/src/{stream}")
+        df = rows.groupBy(F.element_at(nth, F.col(RUN_COLUMN).cast("string")).alias("run"), F.lit(stream).alias("stream")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("lo"), F.max(key).alias("hi")
+        )
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 @query(
     "land_partitioned",
     f"""

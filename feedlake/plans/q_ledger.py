@@ -275,3 +275,113 @@ def bookmark_advance(spark, sf_dir):
     B.save(out, path)
     return B.load(spark, path)
 
+
+
+STREAMS_SQL = """
+WITH ledger AS (
+  SELECT event_id AS run_id, 'pipe_' || CAST(user_id AS VARCHAR) AS pipeline, 'pipe_' || CAST(user_id AS VARCHAR) AS source,
+         'stream_' || CAST(i AS VARCHAR) AS stream, ts AS started_at, value AS duration_seconds,
+         CASE WHEN event_type = 'error' AND i = 0 THEN 'failure' ELSE 'success' END AS status,
+         CASE WHEN event_type = 'error' AND i = 0 THEN 0 ELSE CAST(floor(value) AS BIGINT) + i END AS records,
+         CASE WHEN event_type = 'error' AND i = 0 THEN 'tap crashed' END AS error,
+         CASE WHEN event_id % 5 < 2 THEN 'double' ELSE 'string' END AS v_type,
+         (event_id + i) % 3 = 0 AS has_x
+  FROM events, range(3) r(i)),
+runs AS (
+  SELECT run_id, pipeline, any_value(source) AS source, string_agg(stream, ',' ORDER BY stream) AS stream,
+         any_value(started_at) AS started_at, max(duration_seconds) AS duration_seconds, min(status) AS status,
+         CAST(sum(records) AS BIGINT) AS records, min(error) AS error
+  FROM ledger GROUP BY 1, 2)
+"""
+
+
+def streams_ledger(spark, sf_dir):
+    """A ledger of runs with three streams each; the first of a failed run failed. Columns change between runs."""
+    base = derived_ledger(spark, sf_dir).drop("stream")
+    rows = base.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    ok = (F.col("status") == "success") | (F.col("i") > 0)
+    column = lambda name, kind, null: F.struct(F.lit(name).alias("name"), kind.alias("type"), F.lit(null).alias("nullable"))
+    v_type = F.when(F.col("run_id") % 5 < 2, "double").otherwise("string")
+    always = F.array(column("id", F.lit("bigint"), False), column("v", v_type, True))
+    extra = F.array(column("x", F.lit("date"), True))
+    return rows.select(
+        "run_id", "pipeline", "source", F.concat(F.lit("stream_"), F.col("i").cast("string")).alias("stream"),
+        "started_at", "duration_seconds", F.when(ok, "success").otherwise("failure").alias("status"),
+        F.when(ok, F.floor("duration_seconds").cast("bigint") + F.col("i")).otherwise(F.lit(0).cast("bigint")).alias("records"),
+        F.when(~ok, F.lit("tap crashed")).alias("error"),
+        F.when((F.col("run_id") + F.col("i")) % 3 == 0, F.concat(always, extra)).otherwise(always).alias("columns"),
+    )
+
+
+@query(
+    "run_latest_streams",
+    STREAMS_SQL
+    + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY pipeline ORDER BY started_at DESC, run_id DESC) AS rn FROM runs)
+WHERE rn = 1
+""",
+)
+def run_latest_streams(spark, sf_dir):
+    """The latest run of each pipeline where a run has three streams, one of which may have failed."""
+    return L.run_latest(streams_ledger(spark, sf_dir).select(*L.LEDGER_COLUMNS))
+
+
+@query(
+    "run_last_n_streams",
+    STREAMS_SQL
+    + """
+SELECT run_id, pipeline, source, stream, started_at, duration_seconds, status, records, error FROM (
+  SELECT *, dense_rank() OVER (PARTITION BY pipeline ORDER BY started_at DESC, run_id DESC) AS rn FROM ledger) WHERE rn <= 3
+""",
+)
+def run_last_n_streams(spark, sf_dir):
+    """The streams of the last three runs of each pipeline."""
+    return L.run_last_n(streams_ledger(spark, sf_dir).select(*L.LEDGER_COLUMNS), 3)
+
+
+@query(
+    "run_totals_by_run",
+    STREAMS_SQL
+    + """
+SELECT r.run_id, r.pipeline, r.started_at, r.status, r.records AS total_records, r.duration_seconds, t.streams
+FROM runs r JOIN (
+  SELECT run_id, string_agg(stream || '=' || CAST(records AS VARCHAR), ';' ORDER BY stream || '=' || CAST(records AS VARCHAR)) AS streams
+  FROM ledger GROUP BY 1) t USING (run_id)
+""",
+)
+def run_totals_by_run(spark, sf_dir):
+    """Totals of each run, as a run log holds them."""
+    return L.totals_by_run(streams_ledger(spark, sf_dir))
+
+
+@query(
+    "manifest_listing",
+    STREAMS_SQL
+    + """
+, last AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY source, stream ORDER BY started_at DESC, run_id DESC) AS rn
+    FROM ledger WHERE status = 'success') WHERE rn = 1)
+SELECT source, stream, 0 AS position, 'id' AS name, 'bigint' AS type, false AS nullable FROM last
+UNION ALL SELECT source, stream, 1, 'v', v_type, true FROM last
+UNION ALL SELECT source, stream, 2, 'x', 'date', true FROM last WHERE has_x
+""",
+)
+def manifest_listing(spark, sf_dir):
+    """Name, type and nullability of every table's columns, as its last successful run landed them."""
+    return L.manifest_listing(streams_ledger(spark, sf_dir))
+
+
+@query(
+    "schema_drift",
+    STREAMS_SQL
+    + """
+, h AS (SELECT *, lag(v_type) OVER w AS old_v, lag(has_x) OVER w AS old_x FROM ledger WHERE status = 'success'
+        WINDOW w AS (PARTITION BY source, stream ORDER BY started_at, run_id))
+SELECT run_id, source, stream, 'v' AS name, 'type' AS change, old_v AS old_type, v_type AS new_type FROM h WHERE old_v <> v_type
+UNION ALL SELECT run_id, source, stream, 'x', 'added', NULL, 'date' FROM h WHERE has_x AND NOT old_x
+UNION ALL SELECT run_id, source, stream, 'x', 'removed', 'date', NULL FROM h WHERE old_x AND NOT has_x
+""",
+)
+def schema_drift(spark, sf_dir):
+    """T4: columns that a run added, removed or typed anew, against the run before it."""
+    return L.schema_drift(streams_ledger(spark, sf_dir))

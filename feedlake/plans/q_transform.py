@@ -123,4 +123,4 @@ def pipeline_run(spark, sf_dir):
     ledger = L.read_ledger(spark, f"{lake}/_ledger")
     if ledger.where(F.col("status") != "success").count():
         raise RuntimeError("run ledger records a failure")
-    return spark.read.parquet(f"{lake}/app/events").drop("dt")
+    return K.read_table(spark, f"{lake}/app/events").drop("dt")

@@ -41,8 +41,26 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, spark._jvm.org.apache.hadoop.fs.Path(dst)))
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def delete_empty(spark: SparkSession, path: str) -> None:
+    """Delete the folder ``path`` if nothing is in it."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and not len(fs.listStatus(p)):
+        fs.delete(p, False)
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, in path order."""
+    fs, p = _fs(spark, pattern)
+    return sorted(st.getPath().toString() for st in fs.globStatus(p) or [])
+
+
 def _visible(name: str) -> bool:
-    return not name.startswith(("_", "."))
+    return not name.startswith(".") and (not name.startswith("_") or "=" in name)
 
 
 def iter_files(spark: SparkSession, root: str, suffix: str = ".parquet"):

@@ -18,6 +18,61 @@ def test_full_overwrite_leaves_no_stale_rows(spark, scratch):
     assert spark.read.parquet(path).count() == 5
 
 
+def _late(df):
+    """Rows whose computation fails in the write job only."""
+    return df.select(F.when(F.col("id") >= 0, F.raise_error(F.lit("late"))).cast("bigint").alias("id"))
+
+
+def test_a_failing_replacement_keeps_the_old_rows(spark, scratch):
+    root = scratch("keep")
+    ten = spark.range(10).withColumn("k", F.col("id") % 2)
+    bad = _late(spark.range(5)).withColumn("k", F.lit(1))
+    lands = {
+        "full": K.land_full, "by": lambda df, p: K.land_partitioned_by(df, p, ["k"]),
+        "csv": lambda df, p: K.export(df, p, "csv"), "json": lambda df, p: K.export(df, p, "json"),
+    }
+    for name, land in lands.items():
+        land(ten, f"{root}/{name}")
+        with pytest.raises(Exception, match="late"):
+            land(bad, f"{root}/{name}")
+        back = spark.read.format(name if name in ("csv", "json") else "parquet").load(f"{root}/{name}")
+        assert back.count() - (name == "csv") * sum(1 for r in back.collect() if r[0] == "id") == 10
+        assert not fs.exists(spark, f"{root}/_replacing")
+    with pytest.raises(Exception, match="late"):
+        K.land_full(bad, f"{root}/fresh")  # nothing there before: nothing after
+    assert not fs.exists(spark, f"{root}/fresh")
+    K.land_full(spark.read.parquet(f"{root}/full").where("id < 3"), f"{root}/full")  # a table rewritten from itself
+    assert spark.read.parquet(f"{root}/full").count() == 3
+
+
+def test_a_replacement_cut_off_between_its_renames(spark, scratch):
+    from feedlake.operators import publish
+
+    root = scratch("cut")
+    path, work = f"{root}/table", f"{root}/_replacing/table/x"
+    K.land_full(spark.range(10), path)
+    # as a driver that is lost after the first rename leaves it
+    fs.write_bytes(spark, f"{work}/new/part", b"")
+    assert fs.rename(spark, path, f"{work}/old")
+    assert publish.recover(spark, path) and spark.read.parquet(path).count() == 10
+    assert not publish.recover(spark, path)
+    K.land_full(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_increments_keyed_by_run(spark, scratch):
+    path = scratch("runs")
+    K.land_incremental(spark.range(3), path, "2024-01-01", run="r1")
+    K.land_incremental(spark.range(2), path, "2024-01-01", run="r2")
+    K.land_incremental(spark.range(3), path, "2024-01-02", run="r1")  # the same run, tried again the next day
+    got = {str(r["dt"]): r["count"] for r in K.read_table(spark, path).groupBy("dt").count().collect()}
+    assert got == {"2024-01-01": 2, "2024-01-02": 3}
+    K.land_incremental(spark.range(0), path, "2024-01-02", run="r1")  # and again, with nothing
+    assert K.read_table(spark, path).count() == 2
+    with pytest.raises(ValueError, match="keyed by run"):
+        K.land_incremental(spark.range(2), path, "2024-01-03")
+
+
 def test_incremental_after_full_is_refused(spark, scratch):
     path = scratch("mixed")
     K.land_full(spark.range(3), path)
@@ -97,6 +152,10 @@ def test_failsafe_transforms(spark, scratch):
     path = scratch("failsafe")
     res = T.land_failsafe(df, lambda d: d.withColumn("id", F.raise_error(F.lit("bad"))), path)
     assert res["transformed"] is False and spark.read.parquet(path).count() == 10
+    assert T.land_failsafe(df, lambda d: d.where("id < 3"), path)["transformed"]
+    with pytest.raises(Exception, match="late"):  # the raw rows fail too: the old ones stay
+        T.land_failsafe(_late(df), lambda d: d.where("id < 5"), path)
+    assert spark.read.parquet(path).count() == 3
     res = T.land_failsafe(df, lambda d: d.where("id < 3"), path)
     assert res["transformed"] and spark.read.parquet(path).count() == 3
 

@@ -1,5 +1,6 @@
 """Delimited sources and type inference (S5-S11), JDBC (S12) and new-file pickup."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedlake.functions import bool_token, clean_text, decimal_comma, source_name, table_name, log_key
@@ -107,3 +108,67 @@ def test_pickup_only_new_files(spark, scratch):
     second = pickup_available(spark, f"{root}/in", f"{root}/sink", f"{root}/cp")
     assert (first["rows"], second["rows"]) == (12, 1)
     assert spark.read.parquet(f"{root}/sink").count() == 13
+
+
+def _files(spark, root, files):
+    from feedlake.sources import fs
+
+    for name, text in files.items():
+        fs.write_bytes(spark, f"{root}/{name}", text.encode())
+    return root
+
+
+def test_each_file_is_read_by_its_own_header(spark, scratch):
+    files = {"a.csv": "\ufeff id ,name\n1,x\n2,y\n", "sub/b.csv": "name,id\nm,3\n", "c.csv": "id,age\n4,9\n", "empty.csv": "", "head.csv": "\n\nid,name\n", "blank.csv": " \n"}
+    root = _files(spark, scratch("own"), files)
+    df = D.read_csv(spark, root)
+    assert df.columns[-1] == "pos" and set(df.columns) == {"id", "name", "age", "pos"}
+    got = sorted((r["id"], r["name"], r["age"]) for r in df.collect())
+    assert got == [("1", "x", None), ("2", "y", None), ("3", "m", None), ("4", None, "9")]
+    first = D.read_csv(spark, root, pattern="/a[.]csv$", with_pos=False)
+    assert first.columns == ["id", "name"] and first.count() == 2  # other files' headers play no part
+    assert D.read_csv(spark, f"{root}/a.csv", with_pos=False, columns=["k", "v"]).columns == ["k", "v"]
+    assert D.read_csv(spark, f"{root}/empty.csv", with_pos=False).count() == 0
+
+
+def test_quotes_line_breaks_and_odd_headers(spark, scratch):
+    text = 'id,"say, ""it""",id,\n1,"a ""q"" b",2,z\n3,"two\nlines, one field",4,\n'
+    root = _files(spark, scratch("quotes"), {"t.csv": text})
+    df = D.read_csv(spark, root, with_pos=False, multi_line=True)
+    assert df.columns == ["id0", 'say, "it"', "id2", "_c3"]
+    assert sorted(map(tuple, df.collect())) == [("1", 'a "q" b', "2", "z"), ("3", "two\nlines, one field", "4", None)]
+    assert D.read_matching(spark, root, "t.csv", multi_line=True).collect() == df.collect()
+
+
+def test_entities_hand_their_keys_to_the_transform(spark, scratch):
+    from feedlake import pipeline as P
+
+    root = _files(spark, scratch("entities"), {"p/1.csv": "sku,size,n\na,1,5\na,1,6\na,2,7\n", "q/1.csv": "code\nx\nx\n"})
+    entities = {"parts": D.Entity(f"{root}/p", ("sku", "size")), "codes": f"{root}/q"}
+    lake = scratch("lake")
+    res = P.run_entities(spark, entities, lake, "csv", "parts_pipe", transform=lambda df, name, keys: df.dropDuplicates(list(keys)) if keys else df)
+    assert {n: r.streams[n] for n, r in res.items()} == {"parts": 2, "codes": 2}
+    assert spark.read.parquet(f"{lake}/csv/parts").count() == 2
+    with pytest.raises(ValueError, match="colour"):
+        D.read_entities(spark, {"parts": D.Entity(f"{root}/p", ("colour",))})
+
+
+def test_misfits_are_listed_and_landed(spark, scratch):
+    from feedlake import pipeline as P
+
+    df = spark.createDataFrame([(0, "1", "a"), (1, "2", ""), (2, "true", "b"), (3, "", "c")], "pos int, n string, s string")
+    types = {r["column_name"]: r["json_type"] for r in D.majority_types(df, ["n", "s"]).collect()}
+    assert types == {"n": "integer", "s": "string"}
+    bad = D.majority_rejects(df, types)
+    assert [tuple(r) for r in bad.collect()] == [(2, "n", "true")]
+    lake = scratch("lake")
+    res = P.run_table(spark, D.majority_cast(df, types), lake, "csv", "t", "tp", rejects=bad)
+    assert res.success and res.streams == {"t": 4} and res.rejected_lines == 1
+    assert spark.read.parquet(f"{lake}/csv/_rejects/t.cells").first()["val"] == "true"
+    assert D.majority_rejects(df, {"s": "string"}).count() == 0
+
+
+def test_majority_kind_is_worked_out_once_per_cell(spark):
+    df = spark.createDataFrame([(0, "1", "a")], "pos int, n string, s string")
+    plan = D.majority_types(df, ["n", "s"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 4
