@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.operators import envelope as E
-from feedlake.operators.decode import Decoded, decode, infer_fields, json_schema_fields, raw_struct
+from feedlake.operators.decode import REST, Decoded, decode, infer_fields, json_schema_fields, raw_struct
 from feedlake.sources.feed import feed_lines, messages, parse_once, read_feed
 
 
@@ -100,6 +100,8 @@ def decode_feed(spark: SparkSession, path: str, stream: str, **policy) -> Decode
         fields = json_schema_fields(schemas[stream]["schema"])
     else:
         fields = infer_fields(E.records(env, stream))
+    if any(f.kind == REST for f in fields):  # needs the record's own text
+        return decode(E.records(env, stream), fields, **policy)
     shape = T.StructType([
         T.StructField("type", T.StringType()),
         T.StructField("stream", T.StringType()),
