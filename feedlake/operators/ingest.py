@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,31 +35,37 @@ def route_of(stream: str) -> str:
 
 
 
-def stage_envelope(env: DataFrame, path: str) -> DataFrame:
+def stage_envelope(env: DataFrame, path: str, rejected: Observation | None = None) -> DataFrame:
     """Write the envelope once, partitioned by ``route``: one folder per stream for
     RECORD messages, one for rejected lines and one for SCHEMA / STATE messages.
     Every later step reads only its folder (partition pruning), so the feed text
-    is parsed a single time however many streams it carries."""
+    is parsed a single time however many streams it carries.
+
+    Rows are dealt by route before the write, large routes to several tasks and small
+    ones together (``rebalance``), so that the number of files follows the size of the
+    data, not tasks x streams. ``rejected`` observes the number of rejected lines (``n``)."""
     route = (
         F.when(F.col("reject_reason").isNotNull(), F.lit(REJECTS))
         .when(F.col("type") == "RECORD", F.concat(F.lit(route_of("")), "stream"))
         .otherwise(F.lit(CONTROL))
     )
-    rejected = F.col("reject_reason").isNotNull()
+    bad = F.col("reject_reason").isNotNull()
     out = env.select(
         route.alias("route"), "pos", "type", "stream", "record", "schema", "key_properties", "value",
-        F.when(rejected, F.col("line")).alias("line"), "reject_reason",
+        F.when(bad, F.col("line")).alias("line"), "reject_reason",
     )
-    out.write.mode("overwrite").partitionBy("route").parquet(path)
+    if rejected is not None:
+        out = out.observe(rejected, F.count_if(F.col("route") == REJECTS).alias("n"))
+    out.hint("rebalance", F.col("route")).write.mode("overwrite").partitionBy("route").parquet(path)
     # the schema is given, so that routes stay text
     schema = T.StructType([*out.drop("route").schema.fields, T.StructField("route", T.StringType())])
     return env.sparkSession.read.schema(schema).parquet(path)
 
 
 def staged_streams(staged: DataFrame) -> list[str]:
-    """Streams with at least one record (one row per partition folder)."""
-    routes = [r["route"] for r in staged.select("route").distinct().collect()]
-    return sorted(r.removeprefix(route_of("")) for r in routes if r not in (REJECTS, CONTROL))
+    """Streams with at least one record: the partition folders of the staging, as the file index has them."""
+    routes = {unquote(m[1]) for m in (re.search(r"/route=([^/]*)/", f) for f in staged.inputFiles()) if m}
+    return sorted(unquote(r).removeprefix(route_of("")) for r in routes if unquote(r) not in (REJECTS, CONTROL))
 
 
 def staged_schemas(staged: DataFrame) -> dict[str, dict]:

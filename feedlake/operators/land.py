@@ -11,16 +11,19 @@ attempt of one run takes the place of the first.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from feedlake.operators import bookmarks
-from feedlake.operators.decode import json_schema_fields, struct_type
-from feedlake.operators.ingest import (
-    CONTROL, REJECTS, decode_staged, route_of, stage_envelope, staged_schemas, staged_streams,
-)
+from feedlake.operators.decode import decode, infer_fields, json_schema_fields, struct_type
+from feedlake.operators.ingest import CONTROL, REJECTS, route_of, stage_envelope, staged_schemas, staged_streams
 from feedlake.operators.publish import RUN_COLUMN, replace, withdraw
 from feedlake.session import scratch_path
 from feedlake.sources import fs
@@ -101,24 +104,77 @@ def export(df: DataFrame, path: str, fmt: str) -> None:
 
 
 def read_tree(spark: SparkSession, root: str, pattern: str = "*.parquet", schema=None,
-              ignore_corrupt: bool = False) -> DataFrame:
+              ignore_corrupt: bool = False, merge: bool = False) -> DataFrame:
     """Every Parquet file under ``root`` at any depth.
 
     Partition directories are not turned into columns (as the reference's
     declared-field projection drops them). ``schema`` fixes the columns
     (S3: extra columns of later files are dropped, missing ones are null);
-    ``ignore_corrupt`` skips unreadable files (S4).
+    ``merge`` takes the columns of all files instead; ``ignore_corrupt`` skips unreadable files
+    (S4; ``read_audited`` also leaves out and names files that break off half-way).
     """
     r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if ignore_corrupt:
         r = r.option("ignoreCorruptFiles", "true")
-    if ignore_corrupt and schema is None:
+    if merge:
+        r = r.option("mergeSchema", "true")
+    elif ignore_corrupt and schema is None:
         schema = first_file_schema(spark, root)
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(root)
 
 
+AUDIT_DDL = "file string, readable boolean, rows bigint, reason string"
+
+
+def audit_tree(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
+    """Every Parquet file under ``root`` with whether all of it can be read, its rows, and else why not.
+
+    The driver only lists; tasks open each footer and decode its row groups one after another, so a file that
+    breaks off half-way is found, which a scan with ``ignoreCorruptFiles`` reads in part without a word.
+    Files are opened with pyarrow: local, HDFS and the object stores it knows."""
+    files = [(f,) for f in fs.iter_files(spark, root, suffix)]
+
+    def check(batches):
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                rows, why = 0, None
+                try:
+                    store, name = pafs.FileSystem.from_uri(file)
+                    with store.open_input_file(name) as raw:
+                        parquet = pq.ParquetFile(raw)
+                        for part in parquet.iter_batches(batch_size=1 << 14):
+                            rows += part.num_rows
+                        if rows != parquet.metadata.num_rows:
+                            why = f"{rows} rows of {parquet.metadata.num_rows}"
+                except Exception as e:  # noqa: BLE001 - the reason is the result
+                    why = f"{type(e).__name__}: {e}"[:300]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file]), pa.array([why is None]), pa.array([None if why else rows], pa.int64()), pa.array([why], pa.string())],
+                    ["file", "readable", "rows", "reason"],
+                )
+
+    listed = spark.createDataFrame(files, "file string")
+    tasks = max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))
+    return listed.repartition(tasks).mapInArrow(check, AUDIT_DDL)
+
+
+def read_audited(spark: SparkSession, root: str, merge: bool = False) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of all files that are whole, and the audit of all (written, so that it is made once).
+
+    Columns are the first file's, or with ``merge`` those of all files. No DataFrame where no file is whole."""
+    path = scratch_path(spark, "audit")
+    audit_tree(spark, root).write.parquet(path)
+    audit = spark.read.schema(AUDIT_DDL).parquet(path)
+    bad = {r["file"] for r in audit.where("not readable").select("file").collect()}  # the few that are broken
+    good = [f for f in fs.iter_files(spark, root) if f not in bad]
+    if not good:
+        return None, audit
+    r = spark.read.option("mergeSchema", "true") if merge else spark.read.schema(spark.read.parquet(good[0]).schema)
+    return r.parquet(*good), audit
+
+
 def tree_file_counts(df: DataFrame) -> dict:
     """S4 accounting for a tree read with ``read_tree``: files listed, files that gave
     rows, and the difference (unreadable files skipped, or valid empty files).
@@ -162,9 +218,11 @@ def apply_failsafe(df: DataFrame, fn) -> tuple[DataFrame, str | None]:
         return df, f"{type(e).__name__}: {e}"
 
 
-def land_observed(rows: DataFrame, fn, land, *metrics: Column) -> tuple[Observation, Observation, DataFrame, str | None]:
+def land_observed(rows, fn, land, *metrics: Column) -> tuple[Observation, Observation, DataFrame, str | None]:
     """T3 in a run: land ``fn(rows)``, or the raw rows when ``fn`` fails at plan or at run time.
 
+    ``rows`` is a DataFrame, or a function that makes one for each attempt.
+
     Returns what was observed in the write that committed (``metrics`` over the
     raw rows, the number ``n`` of landed ones), the landed rows and the error.
     When the raw rows cannot be landed either, that error is raised.
@@ -172,7 +230,7 @@ def land_observed(rows: DataFrame, fn, land, *metrics: Column) -> tuple[Observat
     error = None
     while True:
         raw_obs, out_obs = Observation(), Observation()
-        seen = rows.observe(raw_obs, *metrics)
+        seen = (rows() if callable(rows) else rows).observe(raw_obs, *metrics)
         out, why = apply_failsafe(seen, None if error else fn)
         error = error or why
         out = out.observe(out_obs, F.count(F.lit(1)).alias("n"))
@@ -213,13 +271,14 @@ def fan_out(
     partition_by: list[str] | None = None,
     run: str | None = None,
     bookmark_keys: dict[str, str] | None = None,
+    concurrent: int = 4,
     **policy,
 ) -> "Landed":
     """Land every stream of one feed in one run.
 
     The envelope is staged once, partitioned by stream (see
-    ``ingest.stage_envelope``); each stream is decoded from its own folder and
-    landed under ``<root>/<source>/<stream>`` (replacing it, or appended into
+    ``ingest.stage_envelope``); each stream is decoded from its own folder, up to
+    ``concurrent`` streams at a time, and landed under ``<root>/<source>/<stream>`` (replacing it, or appended into
     ``dt=<run_date>`` when ``run_date`` is given; ``partition_by`` adds user
     partition columns, D9; ``run`` keys the increment, so that another attempt of
     the run replaces it). Counts are observed inside the
@@ -232,51 +291,65 @@ def fan_out(
     says so (T3). A stream with a SCHEMA
     and no rows is reported with zero rows and no files (K7).
     """
-    staged = stage_envelope(env, scratch_path(spark, "staging"))
+    bad_obs = Observation()
+    staged = stage_envelope(env, scratch_path(spark, "staging"), bad_obs)
     schemas = staged_schemas(staged)
     present = staged_streams(staged)
-    result: dict[str, dict] = {}
     bad_lines = staged.where(F.col("route") == REJECTS).select("pos", "line", "reject_reason")
-    n_bad = bad_lines.count()  # reads one small partition folder
+    n_bad = bad_obs.get["n"]
     run = (run or uuid.uuid4().hex) if run_date else None
     _reject(bad_lines, f"{root}/{source}/_rejects/_lines", n_bad, run)
-    for stream in sorted(set(schemas) | set(present)):
+
+    def land_stream(stream: str) -> dict:
         if stream not in present:
             fields = json_schema_fields(schemas[stream]["schema"])
-            result[stream] = {"rows_raw": 0, "rows_out": 0, "rejected": 0, "largest": None, "kind": None,
-                              "columns": [f.name for f in fields], "schema": struct_type(fields), "path": None,
-                              "error": None}
-            continue
-        dec = decode_staged(staged, stream, schemas, **policy)
+            return {"rows_raw": 0, "rows_out": 0, "rejected": 0, "largest": None, "kind": None,
+                    "columns": [f.name for f in fields], "schema": struct_type(fields), "path": None, "error": None}
+        part = staged.where(F.col("route") == route_of(stream))
+        fields = json_schema_fields(schemas[stream]["schema"]) if stream in schemas else infer_fields(part)
         path = f"{root}/{source}/{folder_of(stream)}"
+        plain = decode(part, fields, **policy)
+        seen: list[Observation] = []
+
+        def rows() -> DataFrame:
+            seen.append(Observation())  # of the attempt that lands the last counts
+            return decode(part.observe(seen[-1], F.count(F.lit(1)).alias("n")), fields, **policy).rows
 
-        def land(rows, path=path):
+        def land(df):
             if run_date:
-                land_incremental(rows, path, run_date, compression, extra_partitions=partition_by, run=run)
+                land_incremental(df, path, run_date, compression, extra_partitions=partition_by, run=run)
             elif partition_by:
-                land_partitioned_by(rows, path, list(partition_by), compression)
+                land_partitioned_by(df, path, list(partition_by), compression)
             else:
-                land_full(rows, path, compression)
+                land_full(df, path, compression)
 
-        fn = (lambda df, stream=stream: transform(df, stream)) if transform else None
+        fn = (lambda df: transform(df, stream)) if transform else None
         metrics, key = [F.count(F.lit(1)).alias("n")], (bookmark_keys or {}).get(stream)
         if key:
-            metrics.append(bookmarks.largest(dec.rows, key).alias("largest"))
-        ok_obs, out_obs, out, error = land_observed(dec.rows, fn, land, *metrics)
-        n_in = staged.where(F.col("route") == route_of(stream)).count()  # footer-level count of one folder
-        rejected = n_in - ok_obs.get["n"]
-        _reject(dec.rejects, f"{root}/{source}/_rejects/{folder_of(stream)}", rejected, run)
-        result[stream] = {
+            metrics.append(bookmarks.largest(plain.rows, key).alias("largest"))
+        ok_obs, out_obs, out, error = land_observed(rows, fn, land, *metrics)
+        rejected = seen[-1].get["n"] - ok_obs.get["n"]
+        _reject(plain.rejects, f"{root}/{source}/_rejects/{folder_of(stream)}", rejected, run)
+        return {
             "rows_raw": ok_obs.get["n"],
             "rows_out": out_obs.get["n"],
             "rejected": rejected,
             "largest": ok_obs.get["largest"] if key else None,
-            "kind": bookmarks.kind_of(dec.rows, key) if key else None,
+            "kind": bookmarks.kind_of(plain.rows, key) if key else None,
             "columns": out.columns,
             "schema": out.schema,
             "path": path,
             "error": error,
         }
+
+    streams = sorted(set(schemas) | set(present))
+    # streams do not wait for one another; the scheduler shares the executors (evenly under FAIR)
+    with ThreadPoolExecutor(max(1, min(concurrent, len(streams)))) as pool:
+        def pooled(stream):
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"land-{stream}")
+            return land_stream(stream)
+
+        result = dict(zip(streams, pool.map(inheritable_thread_target(spark)(pooled), streams)))
     state = staged.where((F.col("route") == CONTROL) & (F.col("type") == "STATE")).agg(
         F.max_by("value", "pos").alias("v")
     ).first()

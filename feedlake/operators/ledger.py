@@ -23,8 +23,8 @@ from feedlake.functions import qcol, to_day
 LEDGER_COLUMNS = [
     "run_id", "pipeline", "source", "stream", "started_at", "duration_seconds", "status", "records", "error",
 ]
-# what a run may say of a stream besides: rows before the transform, rejected ones, landed columns
-DETAIL_COLUMNS = ["mode", "records_raw", "rejected", "columns"]
+# what a run may say of a stream besides: rows before the transform, rejected ones, landed columns, broken source files
+DETAIL_COLUMNS = ["mode", "records_raw", "rejected", "columns", "files_skipped"]
 COLUMNS_DDL = "array<struct<name:string,type:string,nullable:boolean>>"
 
 

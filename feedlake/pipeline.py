@@ -29,7 +29,7 @@ from feedlake.sources.feed import read_feed
 LEDGER_DDL = (
     "run_id bigint, pipeline string, source string, stream string, started_at timestamp_ntz, "
     "duration_seconds double, status string, records bigint, error string, mode string, "
-    f"records_raw bigint, rejected bigint, columns {L.COLUMNS_DDL}"
+    f"records_raw bigint, rejected bigint, columns {L.COLUMNS_DDL}, files_skipped bigint"
 )
 # fixed value: stream name under which the feed's opaque STATE is kept in the bookmark table
 STATE_STREAM = "*"
@@ -132,10 +132,10 @@ def run(
     mode = "incremental" if incremental else "full"
     if res.success:
         rows = [(run_id, pipeline, source, s, started, duration, "success", int(r["rows_out"]), errors.get(s), mode,
-                 int(r["rows_raw"]), int(r["rejected"]), L.columns_of(r["schema"])) for s, r in landed.streams.items()]
-        rows = rows or [(run_id, pipeline, source, None, started, duration, "success", 0, None, mode, 0, 0, None)]
+                 int(r["rows_raw"]), int(r["rejected"]), L.columns_of(r["schema"]), None) for s, r in landed.streams.items()]
+        rows = rows or [(run_id, pipeline, source, None, started, duration, "success", 0, None, mode, 0, 0, None, None)]
     else:
-        rows = [(run_id, pipeline, source, None, started, duration, "failure", 0, res.error, mode, None, None, None)]
+        rows = [(run_id, pipeline, source, None, started, duration, "failure", 0, res.error, mode, None, None, None, None)]
     L.append_runs(spark.createDataFrame(rows, LEDGER_DDL), ledger_path)
     if res.success and res.last_state is not None:
         marks.append((STATE_STREAM, "state", res.last_state, None))
@@ -167,6 +167,7 @@ def run_table(
     bookmarks_path: str | None = None,
     compression: str = "zstd",
     rejects: DataFrame | None = None,
+    audit: DataFrame | None = None,
 ) -> RunResult:
     """One run for a table source (Parquet tree, CSV, JDBC): the same landing, ledger
     and commit order as :func:`run`, with bookmark-driven extraction (I1-I3): rows
@@ -176,7 +177,9 @@ def run_table(
     key are above no bookmark: they are set aside under ``_rejects`` (those of now, in the
     place of earlier ones) and the others are landed. ``rejects`` are cells or rows that the
     source could not type (``sheet_rejects``, ``majority_rejects``): landed beside the table
-    under ``_rejects/<stream>.cells`` and counted. ``run_id`` as in :func:`run`."""
+    under ``_rejects/<stream>.cells`` and counted. ``audit`` is the file audit of a Parquet tree
+    (``land.read_audited``): files left out are listed under ``_rejects/<stream>.files`` and their
+    number is in the ledger row. ``run_id`` as in :func:`run`."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.time()
     ledger_path = ledger_path or f"{lake_root}/_ledger"
@@ -185,7 +188,7 @@ def run_table(
         return done
     run_id = _run_id(t0) if run_id is None else run_id
     res = RunResult(pipeline=pipeline, success=False, run_id=run_id)
-    new_bookmark, landed_schema, raw_rows = None, None, None
+    new_bookmark, landed_schema, raw_rows, skipped = None, None, None, None
     try:
         rows, metrics = df, [F.count(F.lit(1)).alias("n")]
         if bookmark_key:
@@ -200,6 +203,10 @@ def run_table(
             # observed in the write itself: what a later read of the source shows may not have landed
             metrics.append(B.largest(df, bookmark_key).alias("largest"))
         path = f"{lake_root}/{source}/{K.folder_of(stream)}"
+        if audit is not None:
+            broken = f"{lake_root}/{source}/_rejects/{K.folder_of(stream)}.files"
+            replace(spark, broken, lambda aside: audit.where("not readable").write.parquet(aside))
+            skipped = spark.read.parquet(broken).count()  # footers only
         if rejects is not None:
             cells = f"{lake_root}/{source}/_rejects/{K.folder_of(stream)}.cells"
             replace(spark, cells, lambda aside: rejects.write.parquet(aside))
@@ -226,7 +233,7 @@ def run_table(
     mode = "incremental" if incremental else "full"
     status = "success" if res.success else "failure"
     row = (run_id, pipeline, source, stream, started, duration, status, res.streams.get(stream, 0), res.error, mode,
-           raw_rows, res.rejected_lines, landed_schema)
+           raw_rows, res.rejected_lines, landed_schema, skipped)
     L.append_runs(spark.createDataFrame([row], LEDGER_DDL), ledger_path)
     if res.success and new_bookmark is not None:
         B.save(new_bookmark, bookmarks_path)

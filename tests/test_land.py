@@ -117,6 +117,49 @@ def test_tree_first_schema_and_corrupt_files(spark, scratch):
     assert sorted(map(tuple, df.collect())) == [(1, "a"), (2, None)]
 
 
+def test_files_that_break_off_are_listed_and_left_out(spark, scratch):
+    from feedlake import pipeline as P
+    from feedlake.operators import ledger as L
+
+    root, lake = scratch("audit"), scratch("lake")
+    spark.range(1000).selectExpr("id", "uuid() as u").coalesce(1).write.parquet(f"{root}/a")
+    spark.range(50).selectExpr("id", "'x' as more").coalesce(1).write.parquet(f"{root}/b")
+    fs.write_bytes(spark, f"{root}/c/junk.parquet", b"junk")
+    whole = next(fs.iter_files(spark, f"{root}/a")).removeprefix("file:")
+    data = open(whole, "rb").read()
+    fs.write_bytes(spark, f"{root}/c/torn.parquet", data[:-100])  # footer gone
+    spoilt = bytearray(data)
+    spoilt[len(data) // 2 : len(data) // 2 + 4000] = bytes(4000)  # footer fine, pages not
+    fs.write_bytes(spark, f"{root}/c/spoilt.parquet", bytes(spoilt))
+    fs.write_bytes(spark, f"{root}/c/empty.parquet", b"")
+    df, audit = K.read_audited(spark, root)
+    found = {r["file"].rpartition("/")[2]: r for r in audit.collect()}
+    assert {n for n, r in found.items() if not r["readable"]} == {"junk.parquet", "torn.parquet", "spoilt.parquet", "empty.parquet"}
+    assert all(r["reason"] for r in found.values() if not r["readable"])
+    assert sorted(r["rows"] for r in found.values() if r["readable"]) == [50, 1000]
+    assert df.count() == 1050 and df.columns == ["id", "u"]
+    assert K.read_audited(spark, root, merge=True)[0].columns == ["id", "u", "more"]
+    assert K.read_audited(spark, f"{root}/c")[0] is None
+    assert K.read_tree(spark, f"{root}/a", merge=True).columns == ["id", "u"]
+    res = P.run_table(spark, df, lake, "tree", "t", "tp", audit=audit)
+    row = L.read_ledger(spark, f"{lake}/_ledger").first()
+    assert res.success and (row["records"], row["files_skipped"]) == (1050, 4)
+    assert spark.read.parquet(f"{lake}/tree/_rejects/t.files").count() == 4
+
+
+def test_fan_out_files_follow_the_data(spark, scratch, lines):
+    feed = [json.dumps({"type": "RECORD", "stream": f"s{i % 40}", "record": {"id": i}}) for i in range(4000)]
+    env = lines(feed).repartition(16)
+    staged_path = scratch("staged")
+    from feedlake.operators.ingest import stage_envelope, staged_streams
+
+    staged = stage_envelope(env, staged_path)
+    assert len(staged.inputFiles()) <= 2 * 40  # not 16 tasks x 40 streams
+    assert staged_streams(staged) == sorted(f"s{i}" for i in range(40))
+    res = K.fan_out(spark, env, scratch("lake"), "src", concurrent=8).streams
+    assert {s: r["rows_out"] for s, r in res.items()} == {f"s{i}": 100 for i in range(40)}
+
+
 def test_union_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "id bigint, a string")
     b = spark.createDataFrame([(2, 3.5)], "id bigint, b double")
