@@ -513,3 +513,26 @@ def test_exact_dedup(spark, docs, empty):
     assert later[501].seen_before and not later[501].kept and later[501].keep_id == got[corpus()[10][0]].keep_id
     assert later[502].kept and not later[500].kept and later[500].keep_id == 502
     assert exact_dedup.exact_dedup(empty).count() == 0
+
+
+def test_exact_dedup_of_a_batch_given_again(spark):
+    rows = [(1, "a  b"), (1, "a b"), (2, "ab"), (None, "a b c d"), (None, "abcd"), (3, "x"), (3, "x"), (None, "x"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    index = exact_dedup.DigestIndex(spark, buckets=4)
+
+    def kept(batch, df=docs):
+        found = index.add(df.withColumn("own", F.col("text")), "own", batch=batch).collect()
+        assert len(found) == df.count()
+        return Counter((r.doc_id, r.own) for r in found if r.kept), {r.seen_before for r in found}
+
+    first, seen = kept("one")
+    assert seen == {False} and sum(first.values()) == 4  # one row of each group, the longest
+    assert first[1, "a  b"] == first[None, "a b c d"] == first[3, "x"] == 1
+    size = index.rows().count()
+    assert kept("one") == (first, {False}) and index.rows().count() == size  # as after a lost driver
+    assert kept("two") == (Counter(), {True})
+    more = docs.union(spark.createDataFrame([(9, "new")], docs.schema))
+    assert kept("three", more)[0] == Counter({(9, "new"): 1}) and index.rows().count() == size + 1
+    assert kept("one") == (first, {False})
+    with pytest.raises(ValueError, match="4 buckets"):
+        exact_dedup.DigestIndex(spark, index.path, buckets=8)
