@@ -37,9 +37,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_PIECES = 300_000  # pieces remembered per worker; the memo is emptied when full
+from feedlake.llm.common import hand_back
+
+MEMO = 300_000  # pieces, blank-led parts and compatible pairs each that a task remembers; emptied when full
 MEMO_BYTES = 48  # longer pieces are rare and are not remembered
-MEMO_PAIRS = 400_000  # compatible pairs remembered per worker
 BLANK_RUN = re.compile(r" \s").search
 FLUSH_BYTES = 4 << 20
 
@@ -47,8 +48,8 @@ FLUSH_BYTES = 4 << 20
 class Encoder:
     """Tables of one vocabulary: ranks, splits, longest proper prefixes, automaton."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = MEMO):
+        self.ranks, self.memo = ranks, memo
         self.bytes_of = tokens_of(ranks)
         size = len(self.bytes_of)
         # a token of one byte is its own left and right part
@@ -113,7 +114,7 @@ class Encoder:
         longest = [-1] * (len(piece) + 1)
         for end, (rank, back) in self.automaton.iter(piece.decode("latin-1")):
             longest[end - back] = rank  # ends grow, so the last match of a start is its longest
-        if len(self.fits) > MEMO_PAIRS:
+        if len(self.fits) > self.memo:
             self.fits.clear()
         sizes, shorter, fits, n = self.sizes, self.shorter, self.fits, len(piece)
         closed: set[int] = set()
@@ -141,6 +142,15 @@ class Encoder:
                 last = out[-1] if out else 0
         return out
 
+    def ids(self, piece: str) -> bytes:
+        return np.array(self.piece(piece.encode()), "<u4").tobytes()
+
+    def forget(self) -> None:
+        """Empty the memos; the tables stay."""
+        self.fits.clear()
+        self.pieces.clear()
+        self.parts.clear()
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers.
 
@@ -148,11 +158,11 @@ class Encoder:
         may be cut there and the parts remembered whole; where a blank meets
         another one, the pattern is run over the text instead.
         """
-        if len(self.pieces) > MEMO_PIECES:
+        if len(self.pieces) > self.memo:
             self.pieces.clear()
         if BLANK_RUN(text):
             return b"".join(map(self.pieces.__getitem__, self.find(text)))
-        if len(self.parts) > MEMO_PIECES:
+        if len(self.parts) > self.memo:
             self.parts.clear()
         parts = iter(text.split(" "))
         first = b"".join(map(self.pieces.__getitem__, self.find(next(parts))))
@@ -166,9 +176,8 @@ class _Pieces(dict):
         self.encoder = encoder
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        ids = np.array(self.encoder.piece(raw), "<u4").tobytes()
-        if len(raw) <= MEMO_BYTES:
+        ids = self.encoder.ids(piece)
+        if len(piece) <= MEMO_BYTES:
             self[piece] = ids
         return ids
 
@@ -180,7 +189,9 @@ class _Parts(dict):
         self.encoder = encoder
 
     def __missing__(self, part: str) -> bytes:
-        ids = b"".join(map(self.encoder.pieces.__getitem__, self.encoder.find(" " + part)))
+        found = self.encoder.find(" " + part)
+        # a part that is one piece is remembered once
+        ids = self.encoder.ids(found[0]) if len(found) == 1 else b"".join(map(self.encoder.pieces.__getitem__, found))
         if len(part) <= MEMO_BYTES:
             self[part] = ids
         return ids
@@ -210,16 +221,16 @@ def decode_ids(ids: bytes, tokens: list[bytes]) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
+def encoder(path: str, pattern: str, memo: int = MEMO) -> Encoder:
+    return Encoder(read_ranks(path), pattern, memo)
 
 
 def _slices(batch: pa.RecordBatch, make) -> Iterator[pa.RecordBatch]:
     """Apply ``make`` row by row to column 1, in output batches of bounded size."""
     keys, values, size = [], [], 0
-    for key, value in zip(batch.column(0), batch.column(1), strict=True):
-        keys.append(key.as_py())
-        values.append(make(value.as_py()))
+    for i in range(batch.num_rows):
+        keys.append(batch.column(0)[i].as_py())
+        values.append(make(batch.column(1)[i].as_py()))
         size += len(values[-1])
         if size >= FLUSH_BYTES:
             yield keys, values
@@ -236,6 +247,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         for batch in batches:
             for keys, ids in _slices(batch, lambda t: enc.encode(t or "")):
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        enc.forget()
+        hand_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids binary")
@@ -260,7 +273,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memo: int = MEMO) -> DataFrame:
     """``doc_id, ids, decoded``: ``encode``, then ``decode`` of its ids, in one pass over the texts.
 
     The ids do not travel between two Python workers, so a task holds one
@@ -268,14 +281,17 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """
 
     def run(batches):
-        enc, tokens = encoder(path, pattern), decoder(path)
+        enc = encoder(path, pattern, memo)
         for batch in batches:
             for keys, ids in _slices(batch, lambda t: enc.encode(t or "")):
-                decoded = [decode_ids(i, tokens) for i in ids]
+                decoded = [decode_ids(i, enc.bytes_of) for i in ids]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                     ["doc_id", "ids", "decoded"],
                 )
+            batch = keys = ids = decoded = None  # before the next batch is read
+        enc.forget()
+        hand_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, ids binary, decoded binary")

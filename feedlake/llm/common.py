@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,14 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     return spark.table(table_name)
 
 
+def hand_back() -> None:
+    """At the end of a Python task: give freed memory back, as its worker may now wait through other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def text_or_empty(col: Column | str = "text") -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

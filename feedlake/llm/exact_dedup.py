@@ -29,13 +29,13 @@ SCHEMA = "text_sha256 string, keep_id bigint, keep_chars bigint, group_size bigi
 
 
 def digests(docs: DataFrame, *keep: str) -> DataFrame:
-    """``doc_id, text_sha256, chars`` and the columns ``keep`` of every row; no text leaves its scan task."""
+    """``doc_id, text_sha256, chars, own`` of every row, ``own`` holding its columns ``keep``; no text leaves its scan task."""
     text = text_or_empty()
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.sha2(without_blanks(text), 256).alias("text_sha256"),
         code_points(text).alias("chars"),
-        *keep,
+        (F.struct(*keep) if keep else F.lit(None).cast("boolean")).alias("own"),
     )
 
 
@@ -78,9 +78,9 @@ class DigestIndex:
         given again; what it added itself was not seen before.
         """
         batch = batch or uuid.uuid4().hex
-        rows = written(digests(docs, *keep).withColumn("__row", F.monotonically_increasing_id()), "digests")
+        rows = written(digests(docs, *keep).withColumn("row", F.monotonically_increasing_id()), "digests")
         # partial aggregation leaves one row per digest and task, however many copies there are
-        rank = F.struct(F.col("chars"), (-F.col("doc_id")).alias("neg"), (-F.col("__row")).alias("row"))
+        rank = F.struct(F.col("chars"), (-F.col("doc_id")).alias("neg"), (-F.col("row")).alias("row"))
         groups = rows.groupBy("text_sha256").agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
         groups = groups.select(
             "text_sha256",
@@ -110,10 +110,10 @@ class DigestIndex:
             "doc_id",
             "keep_id",
             "group_size",
-            F.coalesce(F.col("__row") == F.col("keep_row"), F.lit(False)).alias("kept"),
+            F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"),
             "text_sha256",
             "seen_before",
-            *keep,
+            *(F.col("own").getField(c).alias(c) for c in keep),
         )
 
     def _append(self, new: DataFrame) -> None:

@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedlake.llm.common import written
+from feedlake.llm.common import hand_back, written
 
 SIZES = (2, 3, 4)
 HASHES = 3
-CHUNK = 1 << 19  # characters whose n-grams are in memory at once
+CHUNK = 1 << 17  # characters whose n-grams are in memory at once
 SLICE_BYTES = 4 << 20  # of a batch's texts that are Python strings at once
 
 
@@ -225,6 +225,7 @@ def identify(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
             best, share, known = (np.concatenate(x) for x in zip(*parts, strict=True))
             names = [m.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.where(known, share, 0.0))], names=["lang", "share"])
+        hand_back()
 
     # the other columns stay in the JVM; judged once, wherever the result is filtered
     found = F.arrow_udf(judge, "lang string, share double").asNondeterministic()
