@@ -333,6 +333,87 @@ def test_quality_outlier(spark):
     assert sum(not got[i] for i in range(300)) <= 3 and not got[1000]
 
 
+def test_quality_window_words_are_compared(docs):
+    plain = {r.doc_id: r.n_repeat_words for r in quality.base_stats(docs, "doc_id").collect()}
+    # a hash of very few bits: almost all windows of a text fall together
+    for spare in (44, 48, 52):
+        assert {r.doc_id: r.n_repeat_words for r in quality.base_stats(docs, "doc_id", spare_bits=spare).collect()} == plain
+
+
+def robust(x):
+    """Brute force: location and Cholesky factor of one group, by the documented steps."""
+    quantile = lambda v, q: np.sort(v, axis=0)[max(0, int(np.ceil(q * len(v))) - 1)]
+    floor = np.array(quality.FLOOR)
+
+    def factor(s):
+        low = np.zeros((4, 4))
+        for j in range(4):
+            low[j, j] = np.sqrt(max(s[j, j] - low[j, :j] @ low[j, :j], floor[j] ** 2))
+            for i in range(j + 1, 4):
+                low[i, j] = (s[i, j] - low[i, :j] @ low[j, :j]) / low[j, j]
+        return low
+
+    def step(m, low):
+        d2 = (np.linalg.solve(low, (x - m).T) ** 2).sum(0)
+        near = x[d2 <= quantile(d2, quality.SUBSET) * (1 + 1e-12)]
+        return near.mean(0), factor(quality.CONSISTENCY * np.cov(near.T, bias=True))
+
+    det = lambda low: np.log(np.diag(low)).sum()
+    m = quantile(x, 0.5)
+    scale = np.maximum(1.4826 * quantile(np.abs(x - m), 0.5), floor)
+    z = (x - m) / scale
+    t = np.tanh(z)
+    varies = t.std(0) > 0
+    corr = np.eye(4)
+    corr[np.ix_(varies, varies)] = np.atleast_2d(np.corrcoef(t[:, varies].T)) if varies.any() else 0
+    norm = np.maximum((z**2).sum(1), 1e-300)
+    sign = 4 * (z / norm[:, None]).T @ z / len(z)
+    found = []
+    for r in (np.eye(4), corr, sign):
+        now = (m, factor(r * np.outer(scale, scale)))
+        for _ in range(quality.EARLY):
+            now = step(*now)
+        found.append(now)
+    now = min(found, key=lambda e: det(e[1]))
+    for _ in range(quality.MOST_STEPS):
+        new = step(*now)
+        moved, now = abs(det(new[1]) - det(now[1])), new
+        if moved <= quality.SETTLED:
+            break
+    return now
+
+
+@pytest.mark.parametrize("small", [100, 0])
+def test_quality_verdicts_by_brute_force(spark, small):
+    """Broadcast and salted alike; a group of its own, a null one, two small ones that share the pooled estimate."""
+    rng = random.Random(7)
+
+    def text():
+        body = words(rng, rng.randint(60, 140)) + " #" * rng.randint(0, 6) + " $" * rng.randint(0, 3)
+        line = words(rng, 3)
+        return body + f"\n{line}" * rng.choice([0, 0, 1, 2, 3]) + (" ### *** $$$" * 60 if rng.random() < 0.03 else "")
+
+    of = [("en", "s")] * 260 + [(None, None)] * 150 + [("de", "s")] * 40 + [("fr", None)] * 50
+    rows = [(i, text(), *g) for i, g in enumerate(of)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+    got = {r.doc_id: r for r in quality.quality(docs, small=small).collect()}
+    assert len(got) == len(rows)
+    groups = defaultdict(list)
+    for i, _, *g in rows:
+        if not got[i].base_failed:
+            groups[tuple(g) if g in (["en", "s"], [None, None]) else "pooled"].append(got[i])
+    # the determinant's last moves are below the bar; all groups stop together, so one may go further than alone
+    for members in groups.values():
+        x = np.array(
+            [[np.log((r.word_chars + 1) / (r.n_words + 1)), *(np.log1p(100 * c / r.n_words) for c in (r.n_symbols, r.n_dup_lines, r.n_repeat_words))] for r in members]
+        )
+        m, low = robust(x)
+        d2 = (np.linalg.solve(low, (x - m).T) ** 2).sum(0)
+        for r, d in zip(members, d2, strict=True):
+            assert abs(r.distance2 - d) <= 0.05 * d + 0.05 and (r.kept == (d <= quality.CUTOFF) or abs(d - quality.CUTOFF) < 0.05 * d)
+    assert 5 <= sum(not r.kept for r in got.values()) <= 60
+
+
 def test_warc_round_trip(spark):
     rows = [(5, "u5", "<p>a"), (2, "u2", "<p>a"), (7, None, None), (8, "", ""), (9, "u\r\nX: y", "WARC/1.1\r\n\r\nb" * 50), (11, "u", "<p>a"), (None, "n", "<p>a")]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id bigint, url string, html string, digest string").repartition(3)
