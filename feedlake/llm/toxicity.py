@@ -11,8 +11,8 @@ or not. A
 logistic model over the two, their density and the misspelled part of the
 abuse gives the score.
 
-Learning reads a bounded sample (``per_class`` texts per label, taken by
-hash of the id). Lexicon and model have a fixed size.
+Learning reads a bounded sample (about ``per_class`` texts per label, taken
+by hash of the id). Lexicon and model have a fixed size.
 
 Defined results: null or empty text scores as a text without hits; without
 labels of both classes every text scores 0.5 * base rate; repeated rows are
@@ -28,7 +28,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import written
@@ -36,6 +35,7 @@ from feedlake.llm.common import written
 WINDOW = 8  # words on either side of a hit
 PREFIX = (4, 5, 6, 7)  # lengths of word beginnings that may become terms
 MEMO = 400_000
+ROOM = 1_000_000  # (trie node, edits) pairs and transitions that a task's automaton holds; words of one state set are few
 WORDS = re.compile(r"[^\W\d_]+|[\"“”„«»‹›]")
 MARKS = frozenset("\"“”„«»‹›")
 # words that report speech, in the languages the data may have
@@ -57,9 +57,12 @@ class Lexicon:
 
 
 class Matcher:
-    """The trie of a lexicon, intersected with Levenshtein automata, as a lazily built DFA."""
+    """The trie of a lexicon, intersected with Levenshtein automata, as a lazily built DFA.
 
-    def __init__(self, lexicon: Lexicon):
+    States are kept until they hold ``room`` pairs and transitions, then built anew as words need them.
+    """
+
+    def __init__(self, lexicon: Lexicon, room: int = ROOM):
         self.edits: dict[str, int] = {}
         self.children: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
@@ -83,13 +86,19 @@ class Matcher:
             else:
                 self.term[at] = word
         self.alphabet = {ch for c in self.children for ch in c}
+        self.room = room
+        self._begin()
+        self.known = _Known(self)
+
+    def _begin(self) -> None:
+        """An automaton without any state but the first."""
         self.ids: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.stems: list[str | None] = []  # the beginning spelled without edits in each state
         self.near: list[tuple[int, str] | None] = []  # the nearest beginning spelled with edits
+        self.held = 0  # pairs in all states, and transitions
         self.start = self._state({(0, 0)})
-        self.known = _Known(self)
 
     def _state(self, pairs: set[tuple[int, int]]) -> int:
         # a letter of a term may be missing from the word
@@ -105,6 +114,7 @@ class Matcher:
             return -1
         if key not in self.ids:
             self.ids[key] = len(self.states)
+            self.held += len(key)
             self.states.append(key)
             self.steps.append({})
             self.stems.append(next((self.begin[node] for node, e in best.items() if e == 0 and self.begin[node]), None))
@@ -122,11 +132,16 @@ class Matcher:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its edits; whole words go before beginnings of the word, if both or neither need edits."""
+        if self.held > self.room:
+            self._begin()
         state, stem, near = self.start, None, None
         for ch in word:
             step = self.steps[state]
+            if ch not in self.alphabet:
+                ch = "\0"  # all letters that no term has are one
             if ch not in step:
-                step[ch] = self._step(state, ch if ch in self.alphabet else "\0")
+                self.held += 1
+                step[ch] = self._step(state, ch)
             state = step[ch]
             if state < 0:
                 break
@@ -198,13 +213,15 @@ def features(text: str, matcher: Matcher, lexicon: Lexicon) -> list[float]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """``text, y`` of at most ``per_class`` texts per label."""
+    """``text, y`` of about ``per_class`` texts per label, by hash of the id; all if there are fewer."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y"))
     known = known.filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
-    order = W.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_class).select("doc_id", "y")
+    n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    share = F.when(F.col("y") == 1, min(1.0, per_class / n.get(1, 1))).otherwise(min(1.0, per_class / n.get(0, 1)))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / (1 << 32)
+    picked = known.filter(drawn < share).select("doc_id", "y")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # 2 * per_class rows of two numbers
+    # about 2 * per_class rows of two numbers
     return texts.join(F.broadcast(picked), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "y")
 
 

@@ -537,6 +537,14 @@ def test_matcher_equals_edit_distance():
         best = min(((distance(w, t), t) for t in terms if distance(w, t) <= toxicity.edits_for(t)), default=None)
         assert m.match(w) == (best and (best[1], best[0])), w
     assert m.match("vequille") == ("vequ*", 0) and m.match("veq") is None
+    # an automaton that forgets its states finds the same
+    small = toxicity.Matcher(toxicity.Lexicon({**dict.fromkeys(terms, 1.0), "vequ*": 1.0}, dict.fromkeys(terms, 1.0)), room=50)
+    most = 0
+    for _ in range(2000):
+        w = "".join(rng.choice("idotmrnçßqvequ") for _ in range(rng.randint(1, 10))) if rng.random() < 0.5 else rng.choice(terms)
+        assert small.match(w) == m.match(w), w
+        most = max(most, small.held)
+    assert most < 50 + 10 * 40  # what one word of ten letters may add
 
 
 def test_toxicity_held_out(spark):
