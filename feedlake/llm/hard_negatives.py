@@ -179,9 +179,10 @@ def _found_in(left: pa.Table, right: pa.Table) -> pa.Table:
 def met(chunks: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every chunk against every block, each pair a group of its own: ``PAIR``.
 
-    The driver sees the numbers of the matrices, one per ``MATRIX_BYTES`` of vectors.
+    The driver sees the numbers of the matrices, one per ``MATRIX_BYTES`` of vectors. On both sides
+    they are longs: an equal int hashes otherwise, and its group would not meet the other side's.
     """
-    numbers = lambda df, key: F.explode(F.lit([r[0] for r in df.select(key).collect()])).alias(key)
+    numbers = lambda df, key: F.explode(F.lit([r[0] for r in df.select(key).collect()]).cast("array<bigint>")).alias(key)
     left = chunks.select("*", numbers(blocks, "block")).groupBy("chunk", "block")
     right = blocks.select("*", numbers(chunks, "chunk")).groupBy("chunk", "block")
     return left.cogroup(right).applyInArrow(_found_in, PAIR)

@@ -57,6 +57,19 @@ def test_hard_negatives(spark, matrix_bytes):
     assert sorted(tuple(r) for r in got) == mined(rows) and got
 
 
+@pytest.mark.parametrize("matrix_bytes", [32 << 20, 700])
+def test_hard_negatives_meet_in_any_partition(spark, matrix_bytes):
+    # small shuffles are put together in one task, where both sides meet whatever their hashes
+    rows, key = rows_of(), "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = hard_negatives.hard_negatives(frame(spark, rows), matrix_bytes).collect()
+    finally:
+        spark.conf.set(key, was)
+    assert sorted(tuple(r) for r in got) == mined(rows) and got
+
+
 def test_hard_negatives_of_large_numbers_and_nothing(spark):
     rows = [(i, [1e17 * (i % 3), -3e14 + i, 1e308 if i == 9 else 5.0], i % 2) for i in list(range(0, 30)) + [100, 200, 300]]
     got = hard_negatives.hard_negatives(frame(spark, rows)).collect()
