@@ -35,13 +35,17 @@ def file_headers(spark: SparkSession, path: str | list[str], pattern: str | None
     """``file, header``: the first line with any text of each CSV file under ``path`` (whose path matches ``pattern``).
 
     Only rows of a file's first split compete, and a split sends one row. Files that do not match are
-    pruned by the file index before any is opened; empty files have no header."""
+    pruned by the file index before any is opened; empty files have no header.
+    Beside ``collect_set`` (no ``n`` is below 0) text may stand in a hash aggregate: alone it would be a sort
+    aggregate, which sorts and spills all lines of the first splits."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
     if pattern is not None:
         lines = lines.where(F.col("_metadata.file_path").rlike(pattern))
     lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value")
     text = F.translate("value", "\ufeff", "")
-    return lines.where((F.col("block") == 0) & text.rlike(r"\S")).groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    lines = lines.where((F.col("block") == 0) & text.rlike(r"\S")).groupBy("file")
+    found = lines.agg(F.min_by("value", "n").alias("header"), F.collect_set(F.when(F.col("n") < 0, 0)).alias("none"))
+    return found.where(F.size("none") == 0).select("file", "header")  # without the filter the set would be pruned
 
 
 def read_csv(
