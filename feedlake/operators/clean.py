@@ -47,6 +47,20 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: list[Column | str])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+# rows of a task that sorts in memory: some 40 to 80 MB
+SORT_ROWS = 250_000
+
+
+def dealt_for_sort(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``df`` of about ``rows`` rows dealt by ``keys`` for a window over them, ``SORT_ROWS`` to a task.
+
+    The window takes this deal as its own shuffle. The planner's would have partitions merged up to the
+    target for compressed bytes, several times as large in memory, and a sort on either side: both spill.
+    In return all rows of a key come to its task, so it is for keys that few rows share.
+    """
+    return df.repartition(max(1, -(-rows // SORT_ROWS)), *keys)
+
+
 def month_at_least(df: DataFrame, col: str, month: str) -> DataFrame:
     """P20: rows whose ``YYYY-MM`` month text is >= ``month``.
 

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from feedlake.functions import month_text
 from feedlake.operators import envelope as E
-from feedlake.operators.clean import dedupe_keep_first
+from feedlake.operators.clean import dealt_for_sort, dedupe_keep_first
 from feedlake.operators.decode import json_schema_fields, required_violations
 from feedlake.operators.ingest import decode_all, decode_feed
 from feedlake.plans.feeds import EMPTY_STREAM, SCHEMA_SPLIT_DATE, fixture
 from feedlake.plans.registry import query
 from feedlake.session import scratch_path
-from feedlake.sources.feed import read_feed
+from feedlake.sources.feed import feed_lines, read_feed
 
 LINEITEM_COLS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -137,8 +137,10 @@ FROM d WHERE rn = 1 GROUP BY 1
 )
 def feed_month_revenue(spark, sf_dir):
     """Flagship: lineitem feed -> decode -> keep-first dedupe -> revenue per month."""
-    rows = decode_feed(spark, fixture(spark, sf_dir, "lineitem"), "lineitem").rows
-    first = dedupe_keep_first(rows, ["l_orderkey", "l_linenumber"], LINEITEM_FIRST)
+    path, keys = fixture(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]
+    rows = decode_feed(spark, path, "lineitem").rows
+    lines = feed_lines(spark, path).count()  # text only, nothing is parsed
+    first = dedupe_keep_first(dealt_for_sort(rows, keys, lines), keys, LINEITEM_FIRST)
     return first.groupBy(month_text("l_shipdate").alias("month")).agg(
         F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
         F.count(F.lit(1)).alias("n_lines"),
