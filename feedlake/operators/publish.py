@@ -15,7 +15,9 @@ whose success is in the ledger.
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,10 @@ from feedlake.sources import fs
 RUN_COLUMN = "_run"  # readers list folders named ``_x=...`` although other names with ``_`` are hidden
 _ASIDE = "_replacing"
 
+# replacements under way by the hidden folder they share; the last one to end deletes it
+_LOCK = threading.Lock()
+_UNDER_WAY: Counter[str] = Counter()
+
 
 def _aside(path: str) -> str:
     parent, _, name = path.rstrip("/").rpartition("/")
@@ -43,12 +49,15 @@ def recover(spark: SparkSession, path: str) -> bool:
 def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Put what ``write(folder)`` leaves in ``folder`` in the place of ``path``.
 
-    One replacement of a table at a time; readers that opened the old files go on
-    reading until the swap.
+    One replacement of a table at a time, of its neighbours any number; readers that
+    opened the old files go on reading until the swap.
     """
     recover(spark, path)
+    shared = _aside(path).rpartition("/")[0]
     work = f"{_aside(path)}/{uuid.uuid4().hex}"
     new, old = f"{work}/new", f"{work}/old"
+    with _LOCK:
+        _UNDER_WAY[shared] += 1
     try:
         write(new)
         had = fs.exists(spark, path)
@@ -59,11 +68,17 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
                 fs.rename(spark, old, path)
             raise OSError(f"{new} cannot be moved to {path}")
     finally:
-        # the old rows go only once others are in their place
-        if fs.exists(spark, path) or not fs.exists(spark, old):
-            fs.delete(spark, work)
-            fs.delete_empty(spark, _aside(path))
-            fs.delete_empty(spark, _aside(path).rpartition("/")[0])
+        try:
+            # the old rows go only once others are in their place
+            if fs.exists(spark, path) or not fs.exists(spark, old):
+                fs.delete(spark, work)
+                fs.delete_empty(spark, _aside(path))
+        finally:
+            with _LOCK:
+                _UNDER_WAY[shared] -= 1
+                if not _UNDER_WAY[shared]:
+                    del _UNDER_WAY[shared]
+                    fs.delete_empty(spark, shared)
 
 
 def withdraw(spark: SparkSession, path: str, run: str, depth: int = 1) -> None:

@@ -6,6 +6,8 @@ Spark readers and writers.
 
 from __future__ import annotations
 
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -47,10 +49,14 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def delete_empty(spark: SparkSession, path: str) -> None:
-    """Delete the folder ``path`` if nothing is in it."""
+    """Delete the folder ``path`` if nothing is in it; others may delete it or fill it meanwhile."""
     fs, p = _fs(spark, path)
-    if fs.exists(p) and not len(fs.listStatus(p)):
-        fs.delete(p, False)
+    try:
+        if fs.exists(p) and not len(fs.listStatus(p)):
+            fs.delete(p, False)
+    except Py4JJavaError as e:
+        if not is_instance_of(spark.sparkContext._gateway, e.java_exception, "java.io.IOException"):
+            raise
 
 
 def glob(spark: SparkSession, pattern: str) -> list[str]:

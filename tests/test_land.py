@@ -60,6 +60,41 @@ def test_a_replacement_cut_off_between_its_renames(spark, scratch):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_a_replacement_beside_others(spark, scratch):
+    from feedlake.operators import publish
+
+    root = scratch("beside")
+    aside = f"{root}/_replacing"
+
+    def write(folder):
+        fs.write_bytes(spark, f"{aside}/a/begun", b"")
+        fs.delete(spark, f"{aside}/a")  # this one has nothing in the shared folder when the other ends
+        publish.replace(spark, f"{root}/b", lambda f: fs.write_bytes(spark, f"{f}/x", b"b"))
+        assert fs.exists(spark, aside) and fs.exists(spark, f"{root}/b/x")
+        fs.write_bytes(spark, f"{folder}/x", b"a")
+
+    publish.replace(spark, f"{root}/a", write)
+    assert fs.exists(spark, f"{root}/a/x") and not fs.exists(spark, aside)
+
+
+def test_deleting_a_folder_that_another_driver_deletes_or_fills(spark, scratch, monkeypatch):
+    root, plain = scratch("late"), fs._fs
+    fs.write_bytes(spark, f"{root}/full/x", b"")
+
+    class Early:
+        """What was true a moment ago: the folder is there, with nothing in it."""
+
+        def __init__(self, real, empty):
+            self.exists, self.delete = lambda p: True, real.delete
+            self.listStatus = (lambda p: []) if empty else real.listStatus
+
+    for name, empty in (("gone", False), ("gone", True), ("full", True)):
+        monkeypatch.setattr(fs, "_fs", lambda s, p, empty=empty: (Early(plain(s, p)[0], empty), plain(s, p)[1]))
+        fs.delete_empty(spark, f"{root}/{name}")
+    monkeypatch.undo()
+    assert fs.exists(spark, f"{root}/full/x")
+
+
 def test_increments_keyed_by_run(spark, scratch):
     path = scratch("runs")
     K.land_incremental(spark.range(3), path, "2024-01-01", run="r1")
