@@ -171,8 +171,10 @@ def train(docs: DataFrame, per_language: int = 3000, min_count: int = 4, share:
     slices = np.zeros((bits, words), np.uint64)
     if languages:
         bit = [int(np.array(1 << (i % 64), np.uint64).view(np.int64)) for i in range(len(languages))]
-        ref = [(x, i // 64, bit[i], float(total_of[x])) for i, x in enumerate(languages)]
-        ref = spark.createDataFrame(ref, "lang string, word int, bit bigint, total double")
+        word, total = [i // 64 for i in range(len(languages))], [float(total_of[x]) for x in languages]
+        # as Arrow: rows of Python objects go through workers of their own, which then wait beside the others
+        ref = pa.table([languages, pa.array(word, pa.int32()), bit, total], names=["lang", "word", "bit", "total"])
+        ref = spark.createDataFrame(ref)
         rate = F.col("n") / F.col("total")
         top = F.max("rate").over(W.partitionBy("gram"))
         own = counts.join(ref, "lang").withColumn("rate", rate).withColumn("top", top)

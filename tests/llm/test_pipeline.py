@@ -65,3 +65,48 @@ def test_stages_decide_per_row(spark):
     assert max(out.values()) <= 2 and {i for i, _ in out} == {1, None}
     drawn = mixing.mix(many).collect()
     assert sum(out.values()) == sum(round(r.taken / max(r.size, 1)) for r in drawn)
+
+
+def test_learning_languages_starts_no_second_kind_of_worker(spark, monkeypatch):
+    """Rows of Python objects would go through a Python RDD, whose workers then wait beside those of the stages."""
+    from pyspark import SparkContext
+
+    from feedlake.llm import langid
+
+    docs = spark.createDataFrame([(i, f"alpha beta {'gamma' if i % 2 else 'delta'}", "ab"[i % 2]) for i in range(40)], "doc_id long, text string, lang string")
+
+    def refuse(*_, **__):
+        raise AssertionError("rows of Python objects")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refuse)
+    model = langid.train(docs)
+    assert model.languages == ["a", "b"] and model.slices.any()
+    best, _, known = langid.score(["beta delta", "gamma"], model)
+    assert list(best) == [0, 1] and known.all()
+
+
+def test_waiting_workers_hold_no_encoder(spark):
+    import pyarrow as pa
+
+    import corpus_pipeline as cp
+    from feedlake.llm import bpe
+
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(64)], "doc_id long, text string").repartition(16, "doc_id")
+    assert cp.tokens(spark, docs, "").count() == 64
+
+    def held(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([bpe.encoder.cache_info().currsize])], ["n"])
+
+    assert {r.n for r in spark.range(0, 640, 1, 32).mapInArrow(held, "n long").collect()} == {0}
+
+
+@pytest.mark.parametrize("stage", ["language", "exact", "near", "mixed", "tokens"])
+def test_stages_read_without_vectored_buffers(spark, stage):
+    import corpus_pipeline as cp
+
+    key = "parquet.hadoop.vectored.io.enabled"
+    docs = spark.createDataFrame([(1, "a text of words", "en", "s")], "doc_id long, text string, lang string, source string")
+    spark.conf.unset(key)
+    getattr(cp, stage)(spark, docs, "")
+    assert spark.conf.get(key) == "false"
