@@ -284,6 +284,64 @@ def test_components_of_edited_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: root(i) for i in ids}
 
 
+def near_copies(rng, families, copies, n=300, edits=1):
+    """Texts that differ in a few words from ``copies - 1`` others."""
+    out = []
+    for _ in range(families):
+        base = words(rng, n).split()
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(n)] = f"e{rng.random()}"
+            out.append(" ".join(w))
+    return list(enumerate(rng.sample(out, len(out))))
+
+
+def test_components_scratch_of_near_copies(spark, tmp_path, monkeypatch):
+    """Tables of every text with near copies: what stays written is less than the texts, and pairs are few beside their signatures."""
+    docs = spark.createDataFrame(near_copies(random.Random(21), 60, 8), "doc_id bigint, text string").repartition(4)
+    docs.write.parquet(f"{tmp_path}/docs")
+    size = lambda at: sum(p.stat().st_size for p in (tmp_path / at).rglob("*.parquet"))
+    monkeypatch.setattr("feedlake.session.scratch_root", lambda spark: f"{tmp_path}/scratch")
+    got = jaccard_join.components(spark.read.parquet(f"{tmp_path}/docs")).collect()
+    assert sorted(Counter(r.component_id for r in got).values()) == [8] * 60
+    assert size("scratch") < 1.5 * size("docs")
+    assert sum(spark.read.parquet(str(p)).count() for p in (tmp_path / "scratch/feedlake").glob("pairs-star-*")) < len(got)
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    from feedlake.llm.common import bucketed, written
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", found))
+
+    rows, before = spark.range(5000).withColumn("k", F.col("id") % 700), files()
+    once = written(rows.groupBy("k").agg(F.sum("id").alias("n")).repartition(5, "n"), "test-left")
+    dealt = bucketed(rows, "test_left", "id", once.select(F.col("k").alias("id")))
+    assert not files() - before
+    assert sorted(r.id for r in dealt.collect()) == list(range(700)) and once.count() == 700
+
+
+def test_rounds_send_all_tiles():
+    for load in ({}, {1: 100}, {1: 100, 2: 40, 3: 90, 8: 500, 9: 70}, {64: 1000}):
+        for most in (0, 300, 10**9):
+            runs = jaccard_join.rounds(load, most)
+            assert [d for lo, hi in runs for d in range(lo, hi + 1)] == list(range(max(load, default=0) // 2 + 1))
+    assert len(jaccard_join.rounds({64: 1000}, 0)) == 33 and len(jaccard_join.rounds({64: 1000}, 10**9)) == 1
+
+
+def test_components_by_rounds(spark, monkeypatch):
+    """Large families of loosely similar texts, their tiles sent in several rounds."""
+    rows, names = near_copies(random.Random(22), 2, 60, n=120, edits=2), []
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    whole = {r.doc_id: r.component_id for r in jaccard_join.components(df).collect()}
+    monkeypatch.setattr(jaccard_join, "written", lambda df, name, f=jaccard_join.written: names.append(name) or f(df, name))
+    got = jaccard_join.components(df, chunk_shingles=800, round_shingles=0).collect()
+    assert 2 < len(set(whole.values())) < len(rows) and names.count("links-2") > 2
+    assert {r.doc_id: r.component_id for r in got} == whole
+
+
 def test_shared_counts():
     rng = np.random.default_rng(5)
     sets_ = [np.unique(rng.integers(0, rng.choice([60, 4000]), n).astype(np.uint64)) for n in rng.integers(0, 200, 150)]
