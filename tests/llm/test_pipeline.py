@@ -110,3 +110,23 @@ def test_stages_read_without_vectored_buffers(spark, stage):
     spark.conf.unset(key)
     getattr(cp, stage)(spark, docs, "")
     assert spark.conf.get(key) == "false"
+
+
+def test_stages_keep_no_copy_of_a_table(spark, tmp_path, monkeypatch):
+    """Rows of a table just read are known by their place in its files; others are written once."""
+    import corpus_pipeline as cp
+
+    rows = [(i % 40, f"t{i} " * 9, "s") for i in range(90)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(7).write.parquet(f"{tmp_path}/docs")
+    read, copies = spark.read.parquet(f"{tmp_path}/docs"), []
+    monkeypatch.setattr(cp, "written", lambda df, name, *a, f=cp.written: copies.append(name) or f(df, name, *a))
+    keys = {r.text: r[cp.ROW] for r in cp.keyed(read).collect()}
+    assert not copies and len(set(keys.values())) == len(keys) == 90
+    some = cp.keyed(read).select(cp.ROW, "text").filter("doc_id = 3").repartition(2)
+    assert all(keys[r.text] == r[cp.ROW] for r in some.collect())
+    for stage in (cp.exact, cp.near, cp.mixed):
+        assert stage(spark, read, "").columns == read.columns
+    assert "rows" not in copies
+    for df in (read.repartition(3), read.union(read)):
+        assert len({r[cp.ROW] for r in cp.keyed(df).collect()}) == df.count()
+    assert copies[-2:] == ["rows", "rows"]
